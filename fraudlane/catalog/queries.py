@@ -71,8 +71,8 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.gold_rows(transactions(spark, sf_dir))
 
 
-def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions(spark, sf_dir).select("id", "time", "amountRange", "label")
+def _truth(txn: DataFrame) -> DataFrame:
+    return txn.select("id", "time", "amountRange", "label")
 
 
 # Sources
@@ -293,7 +293,8 @@ def kv_latest(spark, sf_dir):
 
 
 def _mispredicted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wrong = reconcile.mispredictions(_predictions(spark, sf_dir), _truth(spark, sf_dir))
+    txn = transactions(spark, sf_dir)
+    wrong = reconcile.mispredictions(medallion.gold_rows(txn), _truth(txn))
     return wrong.select(F.col("id").cast("string").alias("row_key"))
 
 
@@ -322,7 +323,7 @@ def flatten_features(spark, sf_dir):
 
 @query
 def valid_labels(spark, sf_dir):
-    return _truth(spark, sf_dir)
+    return _truth(transactions(spark, sf_dir))
 
 
 @query
@@ -389,12 +390,7 @@ def rows_to_columns(spark, sf_dir):
 @query
 def payload_response(spark, sf_dir):
     requests = payload.build_requests(transactions(spark, sf_dir), REQUEST_RECORDS)
-    return payload.respond(
-        requests,
-        lambda record: scoring.vote_score(
-            payload.record_feature(record, 0), payload.record_feature(record, 1)
-        ),
-    )
+    return payload.respond(requests, scoring.vote_sql)
 
 
 @query
@@ -486,7 +482,8 @@ def range_select(spark, sf_dir):
 
 @query
 def mispredictions(spark, sf_dir):
-    return reconcile.mispredictions(_predictions(spark, sf_dir), _truth(spark, sf_dir))
+    txn = transactions(spark, sf_dir)
+    return reconcile.mispredictions(medallion.gold_rows(txn), _truth(txn))
 
 
 @query
@@ -507,7 +504,8 @@ def masked_rows(spark, sf_dir):
 
 @query
 def false_positive_count(spark, sf_dir):
-    return reconcile.false_positive_count(_predictions(spark, sf_dir), _truth(spark, sf_dir))
+    txn = transactions(spark, sf_dir)
+    return reconcile.false_positive_count(medallion.gold_rows(txn), _truth(txn))
 
 
 # Aggregates

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -53,25 +54,24 @@ def flatten_vector(
     df: DataFrame, vector: str = "pcaVector", style: str = "flattened", count: int = FEATURE_COUNT
 ) -> DataFrame:
     """Spread a vector column over scalar columns, behind the remaining columns."""
-    others = [quoted(c) for c in df.columns if c != vector]
-    values = vector_to_array(quoted(vector))
-    spread = [values.getItem(i).alias(name) for i, name in enumerate(feature_names(style, count))]
-    return df.select(*others, *spread)
+    others = [f"`{c}`" for c in df.columns if c != vector]
+    spread = [f"_values[{i}] AS `{name}`" for i, name in enumerate(feature_names(style, count))]
+    return df.withColumn("_values", vector_to_array(quoted(vector))).selectExpr(*others, *spread)
 
 
 def feature_struct(names: list[str] | None = None, alias: str = "features") -> Column:
-    return F.struct(*[quoted(n) for n in names or FEATURES]).alias(alias)
+    packed = ", ".join(f"`{n}`" for n in names or FEATURES)
+    return F.expr(f"struct({packed})").alias(alias)
 
 
 def columns_between(df: DataFrame, start: int | None, stop: int | None = None) -> DataFrame:
     """Columns by position, ``stop`` excluded."""
-    return df.select(*[quoted(c) for c in df.columns[start:stop]])
+    return df.select(*[f"`{c}`" for c in df.columns[start:stop]])
 
 
 def features_and_label(df: DataFrame, label: str = "label", keep: tuple[str, ...] = ("id",)):
     """The feature frame and the label frame; ``keep`` stays in both so that they can be aligned."""
-    kept = [quoted(c) for c in keep]
-    return df.select(*kept, *FEATURES), df.select(*kept, quoted(label))
+    return df.select(*keep, *FEATURES), df.select(*keep, label)
 
 
 def signature_of(df: DataFrame) -> str:
@@ -85,10 +85,10 @@ def apply_signature(df: DataFrame, signature: str) -> DataFrame:
 
     A column that the contract names and the frame lacks is an error: no model may guess it.
     """
-    import json
-
     wanted = T.StructType.fromJson(json.loads(signature))
     missing = [f.name for f in wanted.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"input lacks columns of the model signature: {', '.join(missing)}")
-    return df.select(*[quoted(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
+    return df.selectExpr(
+        *[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in wanted.fields]
+    )

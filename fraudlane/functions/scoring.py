@@ -19,39 +19,52 @@ VOTES_NEEDED = 2
 SQL_NAME = "cc_fraud_model"
 
 
-def vote_score(
-    first: Column | str = "pca0",
-    second: Column | str = "pca1",
+def vote_sql(
+    first: str = "pca0",
+    second: str = "pca1",
     single_cut: float = SINGLE_CUT,
     sum_cut: float = SUM_CUT,
-) -> Column:
-    """0 or 1; a NULL feature never casts a vote."""
-    a = F.col(first) if isinstance(first, str) else first
-    b = F.col(second) if isinstance(second, str) else second
-    conditions = (a > single_cut, b > single_cut, a + b > sum_cut)
-    votes = sum((F.coalesce(c, F.lit(False)).cast("int") for c in conditions), F.lit(0))
-    return (votes >= VOTES_NEEDED).cast("int")
+) -> str:
+    """The rule over two SQL expressions: 0 or 1; a NULL feature never casts a vote."""
+    conditions = (
+        f"{first} > {single_cut}D",
+        f"{second} > {single_cut}D",
+        f"{first} + {second} > {sum_cut}D",
+    )
+    votes = " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c in conditions)
+    return f"CASE WHEN {votes} >= {VOTES_NEEDED} THEN 1 ELSE 0 END"
 
 
-def _count_votes(a: pd.Series, b: pd.Series) -> pd.Series:
-    votes = (a > SINGLE_CUT).astype("int32") + (b > SINGLE_CUT) + (a + b > SUM_CUT)
-    return votes >= VOTES_NEEDED
+def vote_score(single_cut: float = SINGLE_CUT, sum_cut: float = SUM_CUT) -> Column:
+    return F.expr(vote_sql(single_cut=single_cut, sum_cut=sum_cut))
+
+
+def _vote_counter():
+    """A function that travels to the executors whole, so they need not have this package."""
+
+    def positive(a: pd.Series, b: pd.Series) -> pd.Series:
+        votes = (a > SINGLE_CUT).astype("int32") + (b > SINGLE_CUT) + (a + b > SUM_CUT)
+        return votes >= VOTES_NEEDED
+
+    return positive
 
 
 def vote_udf():
     """One argument per feature, in feature order."""
+    positive = _vote_counter()
 
     def score(*features: pd.Series) -> pd.Series:
-        return _count_votes(features[0], features[1]).astype("int32")
+        return positive(features[0], features[1]).astype("int32")
 
     return F.pandas_udf(score, "int")
 
 
 def vote_struct_udf():
     """One struct argument whose fields carry the silver names, result as double."""
+    positive = _vote_counter()
 
     def score(features: pd.DataFrame) -> pd.Series:
-        return _count_votes(features["pca0"], features["pca1"]).astype("float64")
+        return positive(features["pca0"], features["pca1"]).astype("float64")
 
     return F.pandas_udf(score, "double")
 

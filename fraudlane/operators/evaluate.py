@@ -5,18 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import CELLS, cell_counts, rates
+from ..functions.metrics import CELLS, cell_counts, rates_sql
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """All four cells, also the empty ones."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(y).alias("label"), F.lit(p).alias("prediction"), F.col(name).alias("n_rows"))
-            for name, (y, p) in CELLS.items()
-        ]
-    )
-    return df.agg(*cell_counts(label, prediction)).select(F.inline(cells))
+    cells = ", ".join(f"{y}, {p}, {name}" for name, (y, p) in CELLS.items())
+    counted = df.agg(*cell_counts(label, prediction))
+    return counted.selectExpr(f"stack({len(CELLS)}, {cells}) AS (label, prediction, n_rows)")
 
 
 def evaluation(
@@ -28,11 +24,10 @@ def evaluation(
 ) -> DataFrame:
     """One row of positive-class rates; ``scale=100`` gives percent."""
     counted = df.agg(*cell_counts(label, prediction))
-    columns = []
-    for name, rate in rates().items():
-        value = rate * F.lit(float(scale))
-        columns.append((value if digits is None else F.round(value, digits)).alias(name))
-    return counted.select(*columns)
+    rates = rates_sql(scale=scale).items()
+    return counted.selectExpr(
+        *[f"{sql} AS {name}" if digits is None else f"round({sql}, {digits}) AS {name}" for name, sql in rates]
+    )
 
 
 def label_counts(df: DataFrame, label: str = "label") -> DataFrame:

@@ -43,14 +43,7 @@ def pairwise_correlation(
     """Correlation of each pair of columns in each group; one pass, merged before the shuffle."""
     pairs = list(combinations(columns, 2))
     aggregated = df.groupBy(by).agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("column_a"),
-                F.lit(b).alias("column_b"),
-                F.round(F.col(f"`{a}|{b}`"), digits).alias("correlation"),
-            )
-            for a, b in pairs
-        ]
+    rows = ", ".join(f"'{a}', '{b}', round(`{a}|{b}`, {digits})" for a, b in pairs)
+    return aggregated.selectExpr(
+        by, f"stack({len(pairs)}, {rows}) AS (column_a, column_b, correlation)"
     )
-    return aggregated.select(by, F.inline(rows))

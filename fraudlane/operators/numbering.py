@@ -46,7 +46,7 @@ def number_stored_rows(stored: DataFrame, name: str = "id", start: int = 1) -> D
     )
     number = (F.col("_offset") + F.col("_position") + F.lit(start)).cast("bigint").alias(name)
     rows = join_measured(addressed, offsets, "_file")
-    return rows.select(number, *[quoted(c) for c in stored.columns])
+    return rows.select(number, *[f"`{c}`" for c in stored.columns])
 
 
 def dense_row_number(

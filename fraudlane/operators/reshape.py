@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import quoted
@@ -10,21 +10,16 @@ from ..functions.features import quoted
 
 def _blocks(df: DataFrame, key: str, block_rows: int) -> DataFrame:
     """Rows gathered by runs of ``block_rows`` keys; a unique key bounds every block."""
-    others = [c for c in df.columns if c != key]
+    others = ", ".join(f"`{c}`" for c in df.columns if c != key)
     block = F.floor(F.col(key) / F.lit(block_rows)).cast("bigint").alias("block")
-    row = F.struct(F.col(key), *[quoted(c) for c in others])
-    grouped = df.groupBy(block).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
-    return grouped
-
-
-def _values(name: str) -> Column:
-    return F.transform("_rows", lambda row: row.getField(name))
+    rows = F.expr(f"array_sort(collect_list(struct(`{key}`, {others})))")
+    return df.groupBy(block).agg(rows.alias("_rows"))
 
 
 def rows_to_arrays(df: DataFrame, key: str = "id", block_rows: int = 1000) -> DataFrame:
     """One row for each block of keys with one array for each column, in key order."""
-    blocks = _blocks(df, key, block_rows)
-    return blocks.select("block", *[_values(c).alias(c) for c in df.columns])
+    arrays = [f"transform(_rows, r -> r.`{c}`) AS `{c}`" for c in df.columns]
+    return _blocks(df, key, block_rows).selectExpr("block", *arrays)
 
 
 def arrays_to_rows(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -38,13 +33,8 @@ def rows_to_literals(
 ) -> DataFrame:
     """One line for each block and column: the values as comma-separated text with fixed decimals."""
     blocks = _blocks(df.select(key, *[quoted(c) for c in columns]), key, block_rows)
-    lines = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.array_join(
-                F.transform(_values(name), lambda v: F.format_string(f"%.{digits}f", v)), ", "
-            ).alias("literal"),
-        )
-        for name in columns
-    ]
-    return blocks.select("block", F.inline(F.array(*lines)))
+    lines = ", ".join(
+        f"'{c}', array_join(transform(_rows, r -> format_string('%.{digits}f', r.`{c}`)), ', ')"
+        for c in columns
+    )
+    return blocks.selectExpr("block", f"stack({len(columns)}, {lines}) AS (column_name, literal)")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.features import FEATURES, flatten_vector, quoted, rename_features
-from ..functions.scoring import vote_score
+from ..functions.features import FEATURES, flatten_vector, rename_features
+from ..functions.scoring import sql_call, vote_score
 from ..operators.numbering import number_stored_rows, sort_for_storage
 from ..sources import tables
 
@@ -58,7 +58,7 @@ def valid_rows(transactions: DataFrame) -> DataFrame:
     """Id first, label last, features under their flattened names."""
     flat = rename_features(transactions, "flattened")
     middle = [c for c in flat.columns if c not in ("id", "label")]
-    return flat.select("id", *[quoted(c) for c in middle], "label")
+    return flat.select("id", *[f"`{c}`" for c in middle], "label")
 
 
 def build_test_and_valid(
@@ -75,8 +75,6 @@ def build_test_and_valid(
 
 def predictions_view(test: DataFrame, function: str, names: list[str], view: str | None = None) -> str:
     """A temporary view that scores with a registered function; runs nothing by itself."""
-    from ..functions.scoring import sql_call
-
     name = view or tables.unique_name("cc_fraud_predictions")
     source = tables.temp_view(test)
     test.sparkSession.sql(

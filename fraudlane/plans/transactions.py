@@ -19,12 +19,11 @@ LABEL_AMOUNT_RANGE = 5
 COLUMNS = ["id", "time", "amountRange", *FEATURES, "label"]
 
 
-def amount_range(value: Column) -> Column:
+def amount_range(value: str) -> Column:
     """0 to 8: how many cuts the value has reached; 0 for NULL."""
-    ranged = F.lit(0)
-    for position, cut in enumerate(AMOUNT_CUTS, start=1):
-        ranged = F.when(value >= cut, position).otherwise(ranged)
-    return ranged.cast("int")
+    steps = list(enumerate(AMOUNT_CUTS, start=1))
+    cases = " ".join(f"WHEN {value} >= {cut} THEN {position}" for position, cut in reversed(steps))
+    return F.expr(f"CASE {cases} ELSE 0 END")
 
 
 def whole_seconds(interval: Column) -> Column:
@@ -36,8 +35,8 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vectors that events refer to, already spread into feature columns."""
     vectors = test_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     used = vectors.where(F.col("vec_id").between(0, VECTOR_COUNT - 1))
-    spread = [F.col("embedding").getItem(i).cast("double").alias(n) for i, n in enumerate(FEATURES)]
-    return used.select(F.col("vec_id").alias("vector_id"), *spread)
+    spread = [f"CAST(embedding[{i}] AS DOUBLE) AS {name}" for i, name in enumerate(FEATURES)]
+    return used.selectExpr("vec_id AS vector_id", *spread)
 
 
 def with_transactions(events: DataFrame, vectors: DataFrame, first_ts: Column) -> DataFrame:
@@ -45,14 +44,15 @@ def with_transactions(events: DataFrame, vectors: DataFrame, first_ts: Column) -
     base = events.select(
         F.col("event_id").alias("id"),
         whole_seconds(F.col("ts") - first_ts).cast("int").alias("time"),
-        amount_range(F.col("value")).alias("amountRange"),
+        amount_range("value").alias("amountRange"),
         F.pmod("event_id", F.lit(VECTOR_COUNT)).cast("bigint").alias("vector_id"),
     )
-    positive = (F.col("pca0") + F.col("pca1") > LABEL_SUM) & (
-        F.col("amountRange") >= LABEL_AMOUNT_RANGE
+    label = (
+        f"CASE WHEN pca0 + pca1 > {LABEL_SUM}D AND amountRange >= {LABEL_AMOUNT_RANGE} "
+        "THEN 1 ELSE 0 END AS label"
     )
-    label = F.coalesce(positive, F.lit(False)).cast("int").alias("label")
-    return join_measured(base, vectors, "vector_id").select("id", "time", "amountRange", *FEATURES, label)
+    joined = join_measured(base, vectors, "vector_id")
+    return joined.selectExpr("id", "time", "amountRange", *FEATURES, label)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

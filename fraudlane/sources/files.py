@@ -39,12 +39,15 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows under an explicit schema; a NULL in a required field fails the job."""
+    """Rows under an explicit schema of plain types; a NULL in a required field fails the job."""
     columns = []
     for field in schema.fields:
         value = F.col(f"`{field.name}`").cast(field.dataType)
         if not field.nullable:
-            value = F.coalesce(value, F.raise_error(f"{field.name} must not be NULL").cast(field.dataType))
+            failure = F.raise_error(F.lit(f"{field.name} must not be NULL")).cast(field.dataType)
+            # Never reached; a literal is what makes the column required.
+            text = isinstance(field.dataType, T.StringType)
+            value = F.coalesce(value, failure, F.lit("" if text else 0).cast(field.dataType))
         columns.append(value.alias(field.name))
     return df.select(*columns).to(schema)
 

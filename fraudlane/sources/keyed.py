@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.features import quoted
 from ..operators.numbering import with_batches
 from . import tables
 
@@ -29,18 +28,15 @@ def to_cells(df: DataFrame, qualifiers: list[str], stamp_us: int | Column, key:
     """One row for each value that is not NULL; columns beyond key and qualifiers are kept."""
     kept = [c for c in df.columns if c != key and c not in qualifiers]
     stamp = stamp_us if isinstance(stamp_us, Column) else F.lit(stamp_us).cast("bigint")
-    cells = F.array(
-        *[
-            F.struct(F.lit(q).alias("qualifier"), quoted(q).cast("string").alias("value"))
-            for q in qualifiers
-        ]
-    )
+    cells = ", ".join(f"'{q}', CAST(`{q}` AS STRING)" for q in qualifiers)
     unpivoted = df.select(
         F.col(key).cast("string").alias("row_key"),
         F.lit(family).alias("family"),
         stamp.alias("stamp_us"),
         *kept,
-        F.inline(cells),
+        *qualifiers,
+    ).selectExpr(
+        "row_key", "family", "stamp_us", *kept, f"stack({len(qualifiers)}, {cells}) AS (qualifier, value)"
     )
     return unpivoted.where(F.col("value").isNotNull()).select(
         "row_key", "family", "qualifier", "value", "stamp_us", *kept

@@ -20,59 +20,53 @@ def request_schema(style: str = "flattened", count: int = FEATURE_COUNT) -> T.St
     return T.StructType([T.StructField(RECORDS, T.ArrayType(record))])
 
 
-def build_requests(df: DataFrame, records_per_request: int = 100, key: str = "id", style: str = "flattened") -> DataFrame:
+def build_requests(
+    df: DataFrame, records_per_request: int = 100, key: str = "id", style: str = "flattened"
+) -> DataFrame:
     """Requests of at most ``records_per_request`` consecutive keys, in key order."""
-    names = feature_names(style)
-    record = F.struct(*[F.col(s).alias(n) for s, n in zip(feature_names(), names)])
+    fields = ", ".join(f"'{n}', {s}" for s, n in zip(feature_names(), feature_names(style)))
     request = F.floor(F.col(key) / F.lit(records_per_request)).cast("bigint").alias("request_id")
-    grouped = df.groupBy(request).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), record.alias("r")))).alias("rows")
-    )
-    records = F.transform("rows", lambda row: row.getField("r"))
-    return grouped.select("request_id", F.to_json(F.struct(records.alias(RECORDS))).alias("body"))
+    rows = F.expr(f"array_sort(collect_list(struct({key} AS k, named_struct({fields}) AS r)))")
+    body = f"to_json(named_struct('{RECORDS}', transform(_rows, row -> row.r))) AS body"
+    return df.groupBy(request).agg(rows.alias("_rows")).selectExpr("request_id", body)
+
+
+def _records(style: str) -> Column:
+    return F.from_json("body", request_schema(style)).getField(RECORDS)
 
 
 def parse_requests(requests: DataFrame, style: str = "flattened") -> DataFrame:
     """One row for each record with its position in the request."""
-    parsed = F.from_json("body", request_schema(style)).getField(RECORDS)
-    rows = requests.select("request_id", F.posexplode(parsed).alias("position", "record"))
-    fields = [
-        F.col("record").getField(n).alias(s) for n, s in zip(feature_names(style), feature_names())
-    ]
-    return rows.select("request_id", "position", *fields)
+    rows = requests.select("request_id", F.posexplode(_records(style)).alias("position", "record"))
+    fields = [f"record.`{n}` AS {s}" for n, s in zip(feature_names(style), feature_names())]
+    return rows.selectExpr("request_id", "position", *fields)
 
 
 def respond(
-    requests: DataFrame, score: Callable[[Column], Column], style: str = "flattened"
+    requests: DataFrame, score_sql: Callable[[str, str], str], style: str = "flattened"
 ) -> DataFrame:
     """One response for each request, predictions in request order.
 
-    ``score`` gets a record column. Records are scored inside their array, so a request is never
-    taken apart and nothing is shuffled. A body that is not a request gets a NULL response.
+    ``score_sql`` turns the first two features of a record into a score. Records are scored inside
+    their array, so a request is never taken apart and nothing is shuffled. A body that is not a
+    request gets a NULL response.
     """
-    records = F.from_json("body", request_schema(style)).getField(RECORDS)
-    predictions = F.transform(records, score)
-    response = F.to_json(F.struct(predictions.alias(PREDICTIONS)))
-    return requests.select("request_id", F.when(records.isNotNull(), response).alias("response"))
-
-
-def record_feature(record: Column, position: int, style: str = "flattened") -> Column:
-    return record.getField(feature_names(style)[position])
+    first, second = (f"r.`{n}`" for n in feature_names(style, 2))
+    predictions = f"transform(_records, r -> {score_sql(first, second)})"
+    response = f"to_json(named_struct('{PREDICTIONS}', {predictions}))"
+    return requests.withColumn("_records", _records(style)).selectExpr(
+        "request_id", f"CASE WHEN _records IS NOT NULL THEN {response} END AS response"
+    )
 
 
-def respond_with_udf(
-    requests: DataFrame, udf, style: str = "flattened"
-) -> DataFrame:
-    """As :func:`respond` for a vectorised Python model.
+def respond_with_udf(requests: DataFrame, udf, style: str = "flattened") -> DataFrame:
+    """As :func:`respond` for a vectorised Python model over all features.
 
     Records are regrouped by request, which bounds a group by the size of one request.
     """
     scored = parse_requests(requests, style).select(
         "request_id", "position", udf(*[quoted(n) for n in feature_names()]).alias("p")
     )
-    ordered = F.array_sort(F.collect_list(F.struct("position", "p")))
-    grouped = scored.groupBy("request_id").agg(ordered.alias("rows"))
-    predictions = F.transform("rows", lambda row: row.getField("p"))
-    return grouped.select(
-        "request_id", F.to_json(F.struct(predictions.alias(PREDICTIONS))).alias("response")
-    )
+    rows = F.expr("array_sort(collect_list(struct(position, p)))")
+    response = f"to_json(named_struct('{PREDICTIONS}', transform(_rows, row -> row.p))) AS response"
+    return scored.groupBy("request_id").agg(rows.alias("_rows")).selectExpr("request_id", response)
