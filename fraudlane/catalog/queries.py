@@ -17,7 +17,7 @@ from ..functions import features as feat
 from ..functions import names, scoring
 from ..operators import evaluate, explore, numbering, reconcile, reshape, sampling
 from ..plans import medallion, runs, training
-from ..plans.transactions import raw_transactions, transactions
+from ..plans.transactions import feature_vectors, raw_transactions, transactions, with_transactions
 from ..scratch import scratch_path, unique_name
 from ..sources import files, keyed, payload, tables
 from ..sources.warehouse import Warehouse
@@ -705,10 +705,14 @@ def production_version(spark, sf_dir):
 
 
 def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = scratch_path(spark, "landing")
-    records = transactions(spark, sf_dir)
-    records.write.parquet(landing)
-    return streams.stream_parquet(spark, landing, records.schema)
+    """Events as they arrive, joined with the stored vectors; nothing is copied first."""
+    stored = files.test_table(spark, sf_dir, "events")
+    # A stream cannot ask for the earliest time of all events, so that one value is fetched before.
+    first_ts = stored.agg(F.min("ts").cast("string")).first()[0]
+    # As a pattern the path may be a directory or a single file.
+    arriving = streams.stream_parquet(spark, f"{sf_dir}/events[.]parquet", stored.schema)
+    vectors = feature_vectors(spark, sf_dir)
+    return with_transactions(arriving, vectors, F.lit(first_ts).cast("timestamp_ntz"))
 
 
 @query
@@ -726,7 +730,7 @@ def stream_upsert(spark, sf_dir):
     loose = medallion.gold_rows(
         transactions(spark, sf_dir), scoring.vote_score(single_cut=LOOSE_CUT)
     )
-    store.write(keyed.to_cells(loose, QUALIFIERS, FIRST_STAMP), -1)
+    store.write(keyed.to_cells(loose, QUALIFIERS, FIRST_STAMP), 1)
     records = _record_stream(spark, sf_dir).where(F.col("amountRange") > REWRITE_ABOVE)
     state = scratch_path(spark, "upsert_state")
     streams.upsert_scores(records, store, state, lambda batch: SECOND_STAMP + batch).awaitTermination()

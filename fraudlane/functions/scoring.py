@@ -73,13 +73,17 @@ def evaluate_once(udf):
     """Stop Catalyst from copying the call into a filter on its result.
 
     A deterministic function that is both selected and filtered on is planned twice, so every
-    row would be sent to Python twice.
+    row would be sent to Python twice. Pushed below a projection that computes its arguments, the
+    filter also makes the optimiser derive a constraint for each subset of the 28 arguments, and
+    planning does not end. The price: conditions on other columns stay above the call as well, so
+    they belong into the source of the call.
     """
     return udf.asNondeterministic()
 
 
 def register_scorer(spark: SparkSession, udf=None, name: str = SQL_NAME) -> str:
-    spark.udf.register(name, udf or vote_udf())
+    """Make a scorer callable from SQL, so that a view over it scores each row once."""
+    spark.udf.register(name, evaluate_once(udf or vote_udf()))
     return name
 
 

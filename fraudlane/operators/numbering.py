@@ -31,7 +31,7 @@ def number_stored_rows(stored: DataFrame, name: str = "id", start: int = 1) -> D
     file_name = F.col("_metadata.file_name")
     address = F.struct(
         F.regexp_extract(file_name, r"^part-(\d+)", 1).cast("bigint").alias("task"),
-        F.regexp_extract(file_name, r"c(\d+)\.[a-z.]*parquet$", 1).cast("bigint").alias("chunk"),
+        F.regexp_extract(file_name, r"c(\d+)\.[a-z0-9_.]*parquet$", 1).cast("bigint").alias("chunk"),
     )
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -59,8 +59,20 @@ def dense_row_number(
     return number_stored_rows(spark.read.schema(df.schema).parquet(path), name, start)
 
 
-def with_batches(df: DataFrame, order: list[str], size: int, name: str = "batch_no") -> DataFrame:
-    """Consecutive batches of exactly ``size`` rows, the last one of the rest."""
+def with_batches(
+    df: DataFrame,
+    order: list[str],
+    size: int,
+    name: str = "batch_no",
+    position: str | None = None,
+) -> DataFrame:
+    """Consecutive batches of exactly ``size`` rows, the last one of the rest.
+
+    Rows are counted, not key ranges: a key that fills a third of the table fills many batches.
+    ``position`` names a column for the place of a row in its batch.
+    """
     numbered = dense_row_number(df, order, "_number", start=0)
-    batch = F.floor(F.col("_number") / F.lit(size)).cast("bigint")
-    return numbered.withColumn(name, batch).drop("_number")
+    placed = numbered.withColumn(name, F.expr(f"_number div {int(size)}"))
+    if position:
+        placed = placed.withColumn(position, F.expr(f"CAST(_number % {int(size)} AS INT)"))
+    return placed.drop("_number")

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import quoted
+from .numbering import with_batches
 
 
 def _blocks(df: DataFrame, key: str, block_rows: int) -> DataFrame:
-    """Rows gathered by runs of ``block_rows`` keys; a unique key bounds every block."""
-    others = ", ".join(f"`{c}`" for c in df.columns if c != key)
-    block = F.floor(F.col(key) / F.lit(block_rows)).cast("bigint").alias("block")
-    rows = F.expr(f"array_sort(collect_list(struct(`{key}`, {others})))")
-    return df.groupBy(block).agg(rows.alias("_rows"))
+    """Rows gathered in key order, never more than ``block_rows`` of them in one group."""
+    placed = with_batches(df, [key], block_rows, "block", "_place")
+    fields = ", ".join(f"`{c}`" for c in df.columns)
+    rows = F.expr(f"array_sort(collect_list(struct(_place, {fields})))")
+    return placed.groupBy("block").agg(rows.alias("_rows"))
 
 
 def rows_to_arrays(df: DataFrame, key: str = "id", block_rows: int = 1000) -> DataFrame:

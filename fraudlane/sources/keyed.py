@@ -1,9 +1,9 @@
 """Wide-column keyed export: rows as cells in an append-only table, newest cell wins on read.
 
-A write is one partition of the table, named by its write id, so writing it again replaces it and
-never adds to it. Inside a write, ``batch_no`` counts batches of a fixed number of row keys: a
-loader with a limit for each request takes one batch at a time, and files carry the minimum and
-maximum of the column, so it finds them without reading the rest.
+A write is one partition of the table, named by its writer and the writer's count of writes, so
+writing it again replaces it and never adds to it. Inside a write, ``batch_no`` counts batches of a
+fixed number of row keys: a loader with a limit for each request takes one batch at a time, and
+files carry the minimum and maximum of the column, so it finds them without reading the rest.
 """
 
 from __future__ import annotations
@@ -19,9 +19,9 @@ FAMILY = "predict"
 BATCH_ROWS = 10_000
 CELL_COLUMNS = (
     "row_key string, family string, qualifier string, value string, stamp_us bigint, "
-    "batch_no bigint, write_id bigint"
+    "batch_no bigint, writer string, write_no bigint"
 )
-_NEWEST = ("stamp_us", "write_id", "batch_no", "value")
+_NEWEST = ("stamp_us", "write_no", "writer", "batch_no", "value")
 
 
 def to_cells(df: DataFrame, qualifiers: list[str], stamp_us: int | Column, key: str = "id", family: str = FAMILY) -> DataFrame:
@@ -64,16 +64,18 @@ class KeyedStore:
 
     @classmethod
     def create(cls, spark: SparkSession, table: str) -> KeyedStore:
-        spark.sql(f"CREATE TABLE {table} ({CELL_COLUMNS}) USING parquet PARTITIONED BY (write_id)")
+        spark.sql(f"CREATE TABLE {table} ({CELL_COLUMNS}) USING parquet PARTITIONED BY (writer, write_no)")
         return cls(spark, table)
 
-    def write(self, cells: DataFrame, write_id: int) -> None:
+    def write(self, cells: DataFrame, write_no: int, writer: str = "batch") -> None:
+        if not writer.replace("_", "").isalnum():
+            raise ValueError("a writer is named by letters, digits and underscores")
         if "batch_no" not in cells.columns:
             cells = cells.withColumn("batch_no", F.lit(0).cast("bigint"))
         rows = cells.select("row_key", "family", "qualifier", "value", "stamp_us", "batch_no")
         rows.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {self.table} PARTITION (write_id = {int(write_id)}) "
-            "SELECT * FROM {rows}",
+            f"INSERT OVERWRITE TABLE {self.table} "
+            f"PARTITION (writer = '{writer}', write_no = {int(write_no)}) SELECT * FROM {{rows}}",
             rows=rows,
         )
 

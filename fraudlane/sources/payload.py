@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.features import FEATURE_COUNT, feature_names, quoted
+from ..operators.numbering import with_batches
 
 # The field names of a request and of a response.
 RECORDS = "dataframe_records"
@@ -23,12 +24,14 @@ def request_schema(style: str = "flattened", count: int = FEATURE_COUNT) -> T.St
 def build_requests(
     df: DataFrame, records_per_request: int = 100, key: str = "id", style: str = "flattened"
 ) -> DataFrame:
-    """Requests of at most ``records_per_request`` consecutive keys, in key order."""
+    """Requests of exactly ``records_per_request`` rows in key order, the last one of the rest."""
     fields = ", ".join(f"'{n}', {s}" for s, n in zip(feature_names(), feature_names(style)))
-    request = F.floor(F.col(key) / F.lit(records_per_request)).cast("bigint").alias("request_id")
-    rows = F.expr(f"array_sort(collect_list(struct({key} AS k, named_struct({fields}) AS r)))")
+    placed = with_batches(
+        df.select(key, *feature_names()), [key], records_per_request, "request_id", "_place"
+    )
+    rows = F.expr(f"array_sort(collect_list(struct(_place, named_struct({fields}) AS r)))")
     body = f"to_json(named_struct('{RECORDS}', transform(_rows, row -> row.r))) AS body"
-    return df.groupBy(request).agg(rows.alias("_rows")).selectExpr("request_id", body)
+    return placed.groupBy("request_id").agg(rows.alias("_rows")).selectExpr("request_id", body)
 
 
 def _records(style: str) -> Column:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..scratch import scratch_path, unique_name
 
+# Fixed value: the most buckets a table may have by default.
+MAX_BUCKETS = 100_000
+
 
 def create_database(spark: SparkSession, name: str | None = None) -> str:
     """A database in shared storage; without a name, one nobody else uses."""
@@ -26,6 +29,7 @@ def create_table(df: DataFrame, table: str, key: str | None = None, buckets: int
     writer = df.write.mode("errorifexists").format("parquet")
     if key:
         buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(buckets, MAX_BUCKETS)
         df = df.repartition(buckets, key)
         writer = df.write.mode("errorifexists").format("parquet").bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(table)

@@ -43,16 +43,18 @@ def upsert_scores(
     stamp_us: Callable[[int], int],
     qualifiers: tuple[str, ...] = ("prediction", "time", "amountRange"),
     prediction: Column | None = None,
+    writer: str = "stream",
 ) -> StreamingQuery:
     """Score every record and write its cells under the number of its micro-batch.
 
-    A micro-batch that is run again replaces its own cells, so each counts once.
+    A micro-batch that is run again replaces its own cells, so each counts once. Streams that
+    share a store need different writers.
     """
     scored = gold_rows(records, vote_score() if prediction is None else prediction)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         cells = to_cells(batch, list(qualifiers), stamp_us(batch_id))
-        KeyedStore(batch.sparkSession, store.table).write(cells, batch_id)
+        KeyedStore(batch.sparkSession, store.table).write(cells, batch_id, writer)
 
     return (
         scored.writeStream.foreachBatch(write)

@@ -1,0 +1,62 @@
+"""Every query with an oracle gives the rows that DuckDB gives."""
+
+import math
+
+import pytest
+
+from fraudlane.catalog.oracle import oracle_queries
+from fraudlane.catalog.queries import all_queries
+
+SQL = oracle_queries()
+
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+def test_every_oracle_belongs_to_a_query():
+    assert set(SQL) <= set(all_queries())
+
+
+def test_queries_without_oracle_are_trained_models_and_file_metadata():
+    assert set(all_queries()) - set(SQL) == {
+        "feature_importance",
+        "file_inventory",
+        "grid_runs",
+        "rf_predictions",
+        "rf_probability",
+        "table_detail",
+        "tree_nodes",
+    }
+
+
+def _order(row):
+    return tuple((value is None, value) for value in row)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_matches_oracle(name, spark, sf_dir, duck):
+    got = all_queries()[name](spark, sf_dir)
+    columns = sorted(got.columns)
+    want = duck.sql(SQL[name])
+    assert columns == sorted(want.columns)
+    want_types = dict(zip(want.columns, map(str, want.types)))
+    got_types = {f.name: TYPES[f.dataType.simpleString()] for f in got.schema.fields}
+    assert got_types == want_types
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    rows = sorted(map(tuple, got.select(*[f"`{c}`" for c in columns]).collect()), key=_order)
+    expected = sorted(want.project(quoted).fetchall(), key=_order)
+    assert len(rows) == len(expected)
+    for mine, theirs in zip(rows, expected):
+        for a, b in zip(mine, theirs):
+            assert a == b or (isinstance(a, float) and math.isclose(a, b, rel_tol=1e-12))
+
+
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - set(SQL)))
+def test_query_without_oracle_runs(name, spark, sf_dir):
+    assert all_queries()[name](spark, sf_dir).count() > 0
+
+
+def test_entry(spark):
+    import __spark_entry__ as contract
+
+    assert contract.entry(spark).first()["false_positive_count"] == 17
+    assert set(contract.oracle_sql()) <= set(contract.queries())

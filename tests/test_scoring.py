@@ -1,0 +1,80 @@
+import pytest
+from pyspark.sql import functions as F
+
+from fraudlane.functions import features as feat
+from fraudlane.functions import scoring
+from fraudlane.plans import medallion
+
+
+@pytest.fixture(scope="module")
+def edge_rows(spark):
+    """Pairs around the cuts, with NULLs on either side."""
+    values = [None, -1.0, 0.0, 0.05, 0.2, 0.2000001, 0.25, 0.3]
+    pairs = [(i * len(values) + j, a, b) for i, a in enumerate(values) for j, b in enumerate(values)]
+    df = spark.createDataFrame(pairs, "id long, pca0 double, pca1 double")
+    rest = [F.lit(None).cast("double").alias(n) for n in feat.FEATURES[2:]]
+    return df.select("*", *rest)
+
+
+def _votes(a, b):
+    known = lambda x, cut: x is not None and x > cut
+    total = None if a is None or b is None else a + b
+    return int(known(a, 0.2) + known(b, 0.2) + known(total, 0.25) >= 2)
+
+
+def test_all_forms_agree_with_the_rule(edge_rows):
+    scored = edge_rows.select(
+        "pca0",
+        "pca1",
+        scoring.vote_score().alias("native"),
+        scoring.udf_call(scoring.vote_udf()).alias("columns"),
+        scoring.vote_struct_udf()(feat.feature_struct()).alias("struct"),
+    ).collect()
+    for row in scored:
+        expected = _votes(row["pca0"], row["pca1"])
+        assert (row["native"], row["columns"], row["struct"]) == (expected, expected, float(expected))
+
+
+def test_result_types(edge_rows):
+    types = dict(
+        edge_rows.select(
+            scoring.vote_score().alias("native"),
+            scoring.udf_call(scoring.vote_udf()).alias("columns"),
+            scoring.vote_struct_udf()(feat.feature_struct()).alias("struct"),
+        ).dtypes
+    )
+    assert types == {"native": "int", "columns": "int", "struct": "double"}
+
+
+def test_sql_call_by_name(spark, edge_rows):
+    name = scoring.register_scorer(spark, name="score_for_test")
+    edge_rows.createOrReplaceTempView("edge_rows")
+    called = spark.sql(f"SELECT id, {scoring.sql_call(name)} AS p FROM edge_rows")
+    native = edge_rows.select("id", scoring.vote_score().alias("p"))
+    assert called.exceptAll(native).count() == 0
+
+
+def test_a_filter_on_the_score_does_not_score_twice(txn, plan_of):
+    native = txn.select("id", scoring.vote_score().alias("p")).where("p = 1")
+    once = txn.select(
+        "id", scoring.udf_call(scoring.evaluate_once(scoring.vote_udf())).alias("p")
+    ).where("p = 1")
+    assert plan_of(once, "simple").count("ArrowEvalPython") == 1
+    assert {r["id"] for r in once.collect()} == {r["id"] for r in native.collect()}
+
+
+def test_filter_on_a_view_that_scores(spark, txn, plan_of):
+    scoring.register_scorer(spark)
+    view = medallion.predictions_view(txn.drop("label"), scoring.SQL_NAME, feat.FEATURES)
+    flagged = spark.sql(f"SELECT id FROM {view} WHERE amountRange > 6 AND prediction = 1")
+    assert plan_of(flagged, "simple").count("ArrowEvalPython") == 1
+    assert flagged.count() == 6
+
+
+def test_native_score_stays_in_generated_code(txn, plan_of):
+    plan = plan_of(txn.select("id", scoring.vote_score().alias("p")).where("p = 1"), "simple")
+    assert "Python" not in plan
+
+
+def test_empty_input(txn):
+    assert txn.where("id < 0").select(scoring.udf_call(scoring.vote_udf())).count() == 0

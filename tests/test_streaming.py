@@ -1,0 +1,57 @@
+import pytest
+from pyspark.sql import functions as F
+
+from fraudlane.plans import medallion
+from fraudlane.scratch import scratch_path
+from fraudlane.sources.keyed import KeyedStore
+from fraudlane.streaming import scoring as streams
+
+
+@pytest.fixture
+def landing(spark, txn):
+    path = scratch_path(spark, "landing")
+    txn.where("id < 500").repartition(4).write.parquet(path)
+    return path
+
+
+def _stream(spark, txn, landing):
+    return streams.stream_parquet(spark, landing, txn.schema, files_per_trigger=2)
+
+
+def test_restart_goes_on_where_it_stopped(spark, txn, landing):
+    output, state = scratch_path(spark, "scores"), scratch_path(spark, "state")
+    run = lambda: streams.append_scores(_stream(spark, txn, landing), output, state).awaitTermination()
+    stored = lambda: spark.read.schema(medallion.GOLD_COLUMNS).parquet(output)
+    run()
+    assert stored().count() == 500
+    run()
+    assert stored().count() == 500
+    txn.where("id >= 500").write.mode("append").parquet(landing)
+    run()
+    assert stored().exceptAll(medallion.gold_rows(txn)).count() == 0 and stored().count() == txn.count()
+
+
+def test_upsert_counts_each_micro_batch_once(spark, txn, landing, database):
+    store = KeyedStore.create(spark, f"{database}.cells")
+    qualifiers = ["prediction", "time", "amountRange"]
+    for state in (scratch_path(spark, "state") for _ in range(2)):
+        streams.upsert_scores(
+            _stream(spark, txn, landing), store, state, lambda batch: 1000 + batch
+        ).awaitTermination()
+    assert store.cells().count() == 1500
+    assert store.cells().select("writer", "write_no").distinct().count() == 2
+    store.write(store.cells().where("qualifier = 'time'"), 0, "someone_else")
+    assert store.cells().where("writer = 'stream'").count() == 1500
+    got = store.rows(qualifiers).select(
+        F.col("row_key").cast("long").alias("id"), *[F.col(q).cast("int").alias(q) for q in qualifiers]
+    )
+    want = medallion.gold_rows(txn.where("id < 500")).select("id", *qualifiers)
+    assert got.exceptAll(want).count() == 0 and got.count() == 500
+
+
+def test_scores_under_another_rule(spark, txn, landing):
+    output = scratch_path(spark, "scores")
+    streams.append_scores(
+        _stream(spark, txn, landing), output, scratch_path(spark, "state"), F.lit(1.0)
+    ).awaitTermination()
+    assert spark.read.parquet(output).agg(F.sum("prediction")).first()[0] == 500
