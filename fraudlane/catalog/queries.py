@@ -117,14 +117,14 @@ def _unlabelled_for_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def warehouse_slice(spark, sf_dir):
     warehouse = _warehouse(spark)
-    warehouse.overwrite(_unlabelled_for_warehouse(spark, sf_dir), "cc_fraud_bq")
-    return warehouse.read(spark, "cc_fraud_bq").where(F.col("id") <= WAREHOUSE_LAST_ID)
+    warehouse.overwrite(_unlabelled_for_warehouse(spark, sf_dir), "cc_fraud_unlabelled")
+    return warehouse.read(spark, "cc_fraud_unlabelled").where(F.col("id") <= WAREHOUSE_LAST_ID)
 
 
 @query
 def warehouse_round_trip(spark, sf_dir):
-    view = unique_name("bq_fraud")
-    _warehouse(spark).round_trip(_unlabelled_for_warehouse(spark, sf_dir), "cc_fraud_bq", view)
+    view = unique_name("warehouse_fraud")
+    _warehouse(spark).round_trip(_unlabelled_for_warehouse(spark, sf_dir), "cc_fraud_unlabelled", view)
     return spark.table(view)
 
 
@@ -438,8 +438,8 @@ def score_test(spark, sf_dir):
 @query
 def score_warehouse(spark, sf_dir):
     scoring.register_scorer(spark)
-    view = unique_name("bq_fraud")
-    _warehouse(spark).round_trip(_unlabelled_for_warehouse(spark, sf_dir), "cc_fraud_bq", view)
+    view = unique_name("warehouse_fraud")
+    _warehouse(spark).round_trip(_unlabelled_for_warehouse(spark, sf_dir), "cc_fraud_unlabelled", view)
     call = scoring.sql_call(names=feat.feature_names("warehouse"))
     return spark.sql(f"SELECT id, time, amountRange, {call} AS prediction FROM {view}")
 

@@ -28,22 +28,16 @@ def number_stored_rows(stored: DataFrame, name: str = "id", start: int = 1) -> D
 
     ``stored`` must be a plain scan of files written by one job.
     """
-    file_name = F.col("_metadata.file_name")
-    address = F.struct(
-        F.regexp_extract(file_name, r"^part-(\d+)", 1).cast("bigint").alias("task"),
-        F.regexp_extract(file_name, r"c(\d+)\.[a-z0-9_.]*parquet$", 1).cast("bigint").alias("chunk"),
-    )
-    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        stored.select(address.alias("_file"))
-        .groupBy("_file")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    offsets = materialise(offsets, "file_offsets")
-    addressed = stored.select(
-        "*", address.alias("_file"), F.col("_metadata.row_index").alias("_position")
-    )
+    file_name = F.col("_metadata.file_name").alias("_file")
+    written = [
+        F.regexp_extract("_file", pattern, 1).cast("bigint")
+        for pattern in (r"^part-(\d+)", r"c(\d+)\.[a-z0-9_.]*parquet$")
+    ]
+    earlier = Window.orderBy(*written).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.select(file_name).groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+    offset = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
+    offsets = materialise(sizes.select("_file", offset), "file_offsets")
+    addressed = stored.select("*", file_name, F.col("_metadata.row_index").alias("_position"))
     number = (F.col("_offset") + F.col("_position") + F.lit(start)).cast("bigint").alias(name)
     rows = join_measured(addressed, offsets, "_file")
     return rows.select(number, *[f"`{c}`" for c in stored.columns])

@@ -68,6 +68,7 @@ def build_test_and_valid(
 
     The ids come with the rows, so they agree in both tables however often the rows are computed.
     """
+    buckets = buckets or tables.buckets_for(transactions)
     valid = tables.create_table(valid_rows(transactions), f"{database}.{VALID}", "id", buckets)
     test = tables.create_table(valid.drop("label"), f"{database}.{TEST}", "id", buckets)
     return test, valid

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..scratch import scratch_path, unique_name
 
-# Fixed value: the most buckets a table may have by default.
-MAX_BUCKETS = 100_000
+# The rows meant for one bucket, and the fewest and most buckets of a table.
+BUCKET_ROWS, MIN_BUCKETS, MAX_BUCKETS = 2_000_000, 8, 100_000
 
 
 def create_database(spark: SparkSession, name: str | None = None) -> str:
@@ -24,15 +24,21 @@ def overwrite_table(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def create_table(df: DataFrame, table: str, key: str | None = None, buckets: int | None = None) -> DataFrame:
+def buckets_for(df: DataFrame) -> int:
+    """Buckets that grow with the table, from one count that reads no wide column."""
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-df.count() // BUCKET_ROWS)))
+
+
+def create_table(
+    df: DataFrame, table: str, key: str | None = None, buckets: int | None = None
+) -> DataFrame:
     """Fails if the table exists. Tables bucketed alike on a key later join without a shuffle."""
-    writer = df.write.mode("errorifexists").format("parquet")
     if key:
-        buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(buckets, MAX_BUCKETS)
-        df = df.repartition(buckets, key)
-        writer = df.write.mode("errorifexists").format("parquet").bucketBy(buckets, key).sortBy(key)
-    writer.saveAsTable(table)
+        buckets = buckets or buckets_for(df)
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    else:
+        writer = df.write
+    writer.mode("errorifexists").format("parquet").saveAsTable(table)
     return df.sparkSession.table(table)
 
 

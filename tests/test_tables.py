@@ -100,7 +100,7 @@ def test_external_table_copies_nothing(spark, sf_dir, database):
 
 def test_warehouse_filter_and_columns_reach_the_scan(spark, txn, plan_of):
     warehouse = Warehouse(root=scratch.scratch_path(spark, "warehouse"))
-    view = scratch.unique_name("bq")
+    view = scratch.unique_name("warehouse")
     stored = warehouse.round_trip(rename_features(txn, "warehouse"), "t", view)
     plan = plan_of(stored.where("id <= 5").select("id", "pca_0_"))
     assert "LessThanOrEqual(id,5)" in plan

@@ -175,3 +175,10 @@ def test_lifecycle_of_tables_used_by_runs(spark, database):
     log = runs.RunLog.create(spark, f"{database}.runs")
     tables.delete_all_rows(spark, log.table)
     assert log.runs().count() == 0
+
+
+@pytest.mark.parametrize(
+    "rows, partitions", [(0, 1), (1, 1), (8_000, 2), (80_000, 16), (10**6, 64), (10**9, 1000)]
+)
+def test_partitions_grow_with_the_rows(rows, partitions):
+    assert training.partitions_for(rows) == partitions
