@@ -16,6 +16,7 @@ def build_session(cores: int | str = "*", app_name: str = "fraudlane", **conf: s
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -40,6 +40,14 @@ def test_a_fit_repeats_after_repartitioning(model, parts):
     assert _predictions(again, parts["test"]) == _predictions(model, parts["test"])
 
 
+def test_copies_of_one_row_are_cut_like_any_others(txn):
+    copies = txn.where("id = 1").join(txn.selectExpr("id AS n").where("n < 700"))
+    rest = txn.where("id < 300")
+    train = training.training_frame(copies.drop("n").unionByName(rest), 10)
+    sizes = train.groupBy(F.spark_partition_id()).count().agg(F.min("count"), F.max("count"), F.count("*")).first()
+    assert tuple(sizes) == (100, 100, 10)
+
+
 def test_lineage_is_cut(train, plan_of):
     assert "parquet" not in plan_of(train, "simple").lower()
 
