@@ -93,7 +93,7 @@ def csv_round_trip(spark, sf_dir):
 @query
 def csv_range_scan(spark, sf_dir):
     path = scratch_path(spark, "prices_csv")
-    lines = files.test_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
+    lines = files.read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
     files.write_csv(lines.toDF("carat", "price"), path)
     prices = files.scan_csv(spark, path, "carat double, price double")
     return explore.in_closed_range(prices, "carat", CARAT_LOW, CARAT_HIGH)
@@ -130,7 +130,7 @@ def warehouse_round_trip(spark, sf_dir):
 
 @query
 def explicit_schema_rows(spark, sf_dir):
-    customers = files.test_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
+    customers = files.read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
     parts = F.split("c_name", "#")
     named = customers.select(
         F.col("c_custkey").alias("CustomerID"),
@@ -361,7 +361,7 @@ def row_slice(spark, sf_dir):
 
 @query
 def namespace_names(spark, sf_dir):
-    customers = files.test_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
+    customers = files.read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
     user = F.concat("c_name", F.lit(USER_DOMAIN))
     return customers.select(
         "c_custkey",
@@ -473,7 +473,7 @@ def high_value_fraud_udf(spark, sf_dir):
 
 @query
 def range_select(spark, sf_dir):
-    lines = files.test_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
+    lines = files.read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
     return explore.in_closed_range(lines, "l_quantity", CARAT_LOW, CARAT_HIGH)
 
 
@@ -559,7 +559,7 @@ def smoothed_means(spark, sf_dir):
 
 @query
 def scatter_bins(spark, sf_dir):
-    lines = files.test_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
+    lines = files.read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
     return explore.scatter_bins(lines, "l_quantity", "l_extendedprice", X_WIDTH, Y_WIDTH)
 
 
@@ -706,7 +706,7 @@ def production_version(spark, sf_dir):
 
 def _record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as they arrive, joined with the stored vectors; nothing is copied first."""
-    stored = files.test_table(spark, sf_dir, "events")
+    stored = files.read_table(spark, sf_dir, "events")
     # A stream cannot ask for the earliest time of all events, so that one value is fetched before.
     first_ts = stored.agg(F.min("ts").cast("string")).first()[0]
     # As a pattern the path may be a directory or a single file.

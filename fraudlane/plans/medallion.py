@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.features import FEATURES, flatten_vector, rename_features
 from ..functions.scoring import sql_call, vote_score

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import FEATURES, pack_vector
 from ..operators.joins import join_measured
-from ..sources.files import test_table
+from ..sources.files import read_table
 
 # Fixed values of the fixture: lower ends of the amount ranges 1 to 8, the number of vectors that
 # events refer to, and the rule for a positive label.
@@ -33,7 +33,7 @@ def whole_seconds(interval: Column) -> Column:
 
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vectors that events refer to, already spread into feature columns."""
-    vectors = test_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    vectors = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     used = vectors.where(F.col("vec_id").between(0, VECTOR_COUNT - 1))
     spread = [f"CAST(embedding[{i}] AS DOUBLE) AS {name}" for i, name in enumerate(FEATURES)]
     return used.selectExpr("vec_id AS vector_id", *spread)
@@ -56,7 +56,7 @@ def with_transactions(events: DataFrame, vectors: DataFrame, first_ts: Column) -
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = test_table(spark, sf_dir, "events", ["event_id", "ts", "value"])
+    events = read_table(spark, sf_dir, "events", ["event_id", "ts", "value"])
     first_ts = events.select(F.min("ts")).scalar()
     return with_transactions(events, feature_vectors(spark, sf_dir), first_ts)
 

@@ -16,13 +16,13 @@ def scan_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-def test_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None
+) -> DataFrame:
+    """One of the given tables: a Parquet directory or file."""
     return scan_parquet(spark, f"{sf_dir}/{name}.parquet", columns)
 
 
-test_table.__test__ = False
-
-
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A CSV with a header; the schema is given, so no pass is spent on inferring it."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)

@@ -24,7 +24,13 @@ CELL_COLUMNS = (
 _NEWEST = ("stamp_us", "write_no", "writer", "batch_no", "value")
 
 
-def to_cells(df: DataFrame, qualifiers: list[str], stamp_us: int | Column, key: str = "id", family: str = FAMILY) -> DataFrame:
+def to_cells(
+    df: DataFrame,
+    qualifiers: list[str],
+    stamp_us: int | Column,
+    key: str = "id",
+    family: str = FAMILY,
+) -> DataFrame:
     """One row for each value that is not NULL; columns beyond key and qualifiers are kept."""
     kept = [c for c in df.columns if c != key and c not in qualifiers]
     stamp = stamp_us if isinstance(stamp_us, Column) else F.lit(stamp_us).cast("bigint")
@@ -43,7 +49,13 @@ def to_cells(df: DataFrame, qualifiers: list[str], stamp_us: int | Column, key:
     )
 
 
-def batched_cells(df: DataFrame, qualifiers: list[str], stamp_us: int, key: str = "id", batch_rows: int = BATCH_ROWS) -> DataFrame:
+def batched_cells(
+    df: DataFrame,
+    qualifiers: list[str],
+    stamp_us: int,
+    key: str = "id",
+    batch_rows: int = BATCH_ROWS,
+) -> DataFrame:
     return to_cells(with_batches(df, [key], batch_rows), qualifiers, stamp_us, key)
 
 
@@ -87,7 +99,7 @@ class KeyedStore:
         newest = F.max(F.struct(*_NEWEST))
         grouped = self.cells().groupBy("row_key", "family", "qualifier").agg(newest.alias("cell"))
         return grouped.select(
-            "row_key", "family", "qualifier", F.col("cell.value").alias("value"), F.col("cell.stamp_us").alias("stamp_us")
+            "row_key", "family", "qualifier", "cell.value", "cell.stamp_us"
         )
 
     def rows(self, qualifiers: list[str], keys: DataFrame | None = None) -> DataFrame:

@@ -95,7 +95,7 @@ def test_external_table_copies_nothing(spark, sf_dir, database):
     assert detail["format"] == "parquet" and detail["n_files"] == 1 and detail["size_bytes"] > 0
     assert detail["location"].endswith("events.parquet")
     tables.drop_table(spark, table)
-    assert files.test_table(spark, sf_dir, "events").count() == 1000
+    assert files.read_table(spark, sf_dir, "events").count() == 1000
 
 
 def test_warehouse_filter_and_columns_reach_the_scan(spark, txn, plan_of):
@@ -130,10 +130,10 @@ def test_warehouse_with_a_table_option(spark, database, txn):
 
 
 def test_scan_prunes_and_names_missing_columns(spark, sf_dir, plan_of):
-    lines = files.test_table(spark, sf_dir, "lineitem", ["l_quantity"])
+    lines = files.read_table(spark, sf_dir, "lineitem", ["l_quantity"])
     assert "ReadSchema: struct<l_quantity:double>" in plan_of(lines)
     with pytest.raises(ValueError, match="nothing"):
-        files.test_table(spark, sf_dir, "lineitem", ["nothing"])
+        files.read_table(spark, sf_dir, "lineitem", ["nothing"])
 
 
 def test_csv_keeps_nulls_and_doubles(spark):
