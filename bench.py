@@ -34,12 +34,13 @@ def main() -> None:
         seconds[name] = round(timed(queries[name], spark, sf_dir), 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
     spark.stop()
+    scale = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     result = {
         "metric": "registered queries, total time",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
-        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
     }
     print(json.dumps(result))
 

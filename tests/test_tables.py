@@ -177,3 +177,14 @@ def test_time_does_not_depend_on_the_session_zone(spark, sf_dir, conf):
     expected = transactions(spark, sf_dir).agg(F.sum("time")).first()[0]
     conf("spark.sql.session.timeZone", "America/New_York")
     assert transactions(spark, sf_dir).agg(F.sum("time")).first()[0] == expected
+
+
+def test_sql_over_named_parameters_and_session_variables(spark, txn, database, conf):
+    tables.overwrite_table(medallion.gold_rows(txn), f"{database}.gold")
+    conf("var.db_name", database)
+    by_variable = spark.sql("SELECT id FROM ${var.db_name}.gold WHERE prediction = 1")
+    by_parameter = spark.sql(
+        "SELECT id FROM IDENTIFIER(:name) WHERE prediction = :wanted",
+        {"name": f"{database}.gold", "wanted": 1},
+    )
+    assert by_variable.count() == 44 and by_variable.exceptAll(by_parameter).count() == 0

@@ -186,7 +186,7 @@ def test_lifecycle_of_tables_used_by_runs(spark, database):
 
 
 @pytest.mark.parametrize(
-    "rows, partitions", [(0, 1), (1, 1), (8_000, 2), (80_000, 16), (10**6, 64), (10**9, 1000)]
+    "rows, partitions", [(0, 1), (1, 1), (8_000, 1), (80_000, 8), (10**6, 64), (10**9, 1000)]
 )
 def test_partitions_grow_with_the_rows(rows, partitions):
     assert training.partitions_for(rows) == partitions
