@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fraudlane.llm.decontaminate import scan_contamination
 from fraudlane.llm.near_duplicates import near_duplicates
+from fraudlane.llm.quality_crf import quality_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +19,16 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_near_duplicates,)}
+    return {f.__name__: f for f in (op5_near_duplicates, op6_decontamination, op7_quality_classifier)}
 
 
 def llm_oracles() -> dict[str, str]:
