@@ -10,12 +10,17 @@ from fraudlane.llm.decontaminate import scan_contamination
 from fraudlane.llm.language_id import language_of_documents
 from fraudlane.llm.near_duplicates import near_duplicates
 from fraudlane.llm.quality_crf import quality_scores
+from fraudlane.llm.sentence_spans import remove_repeated_passages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_of_documents(table(spark, sf_dir, "documents"))
 
@@ -33,7 +38,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_language_id, op5_near_duplicates, op6_decontamination, op7_quality_classifier)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_language_id, op5_near_duplicates, op6_decontamination, op7_quality_classifier)}
 
 
 def llm_oracles() -> dict[str, str]:
