@@ -11,6 +11,7 @@ from fraudlane.llm.language_id import language_of_documents
 from fraudlane.llm.near_duplicates import near_duplicates
 from fraudlane.llm.quality_crf import quality_scores
 from fraudlane.llm.sentence_spans import remove_repeated_passages
+from fraudlane.llm.warc import archive_round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,9 +38,24 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_language_id, op5_near_duplicates, op6_decontamination, op7_quality_classifier)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_language_id, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op10_warc)}
+
+
+#: Equal payloads are grouped by themselves here, not by their digests.
+OP10 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS low FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> low THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> low THEN low END AS refers_to
+FROM f
+"""
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op10_warc": OP10}
