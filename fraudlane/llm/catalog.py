@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fraudlane.llm.decontaminate import scan_contamination
+from fraudlane.llm.html_text import extract_main_text
 from fraudlane.llm.language_id import language_of_documents
 from fraudlane.llm.near_duplicates import near_duplicates
 from fraudlane.llm.quality_crf import quality_scores
@@ -18,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -43,7 +48,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_language_id, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op10_warc)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_substring_dedup, op3_language_id, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op10_warc)}
 
 
 #: Equal payloads are grouped by themselves here, not by their digests.
