@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fraudlane.llm.decontaminate import scan_contamination
 from fraudlane.llm.html_text import extract_main_text
 from fraudlane.llm.language_id import language_of_documents
+from fraudlane.llm.mixing import mix_sources
 from fraudlane.llm.near_duplicates import near_duplicates
 from fraudlane.llm.quality_crf import quality_scores
 from fraudlane.llm.sentence_spans import remove_repeated_passages
@@ -43,12 +45,17 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_sources(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_substring_dedup, op3_language_id, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op10_warc)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_substring_dedup, op3_language_id, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op8_mixing, op10_warc)}
 
 
 #: Equal payloads are grouped by themselves here, not by their digests.
@@ -62,5 +69,36 @@ FROM f
 """
 
 
+#: Blocks and shards do not matter here: the mix takes whole passes and a prefix of the permuted source.
+OP8 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5('mix ' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS key
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM d GROUP BY source),
+w AS (SELECT *, ([3, 1, 2])[rank % 3 + 1] AS weight FROM s),
+l AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
+      - 2 * coalesce(sum(source_size) OVER (ORDER BY source_size * (6 // weight), rank
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) /
+    (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY source_size * (6 // weight), rank
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS level
+  FROM w),
+t AS (SELECT source, source_size, least(weight * (SELECT max(level) FROM l), 2 * source_size::DOUBLE) AS target FROM l),
+p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size)::BIGINT ELSE 0 END AS passes,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (CASE WHEN size > 0 THEN size * (passes +
+    CASE WHEN 2 * before + size <= 2 * (target - passes * source_size) THEN 1 ELSE 0 END) ELSE 0 END)::BIGINT AS taken
+FROM p
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op10_warc": OP10}
+    return {"op8_mixing": OP8, "op10_warc": OP10}
