@@ -65,18 +65,35 @@ def hamming_lanes(left: Column, right: Column, words: int) -> Column:
     return total
 
 
+def _with_shared(mixed: DataFrame, classes: DataFrame, contents: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Adds ``n`` and ``shared``, the items that any other node here has; drops nodes that can have no link.
+
+    Two sets have at most the smaller ``shared`` in common, which bounds their similarity without comparing them. In
+    a group of altered copies most alterations are a copy's own, so the bound is close to the truth.
+    """
+    nodes = materialise(mixed.select("node").distinct(), "nodes")
+    own = contents(nodes).groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("c")).where("c = 1")
+    own = own.groupBy("node").agg(F.count("*").alias("own"))
+    shared = classes.select("node", "n").join(nodes, "node").join(own, "node", "left")
+    shared = shared.select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+    return mixed.join(shared.where(100 * F.col("shared") >= percent * F.col("n")), "node")
+
+
 def link_classes(
     classes: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     words: int = 0,
     max_distance: int = 0,
-    rounds: int = 3,
+    contents: Callable[[DataFrame], DataFrame] | None = None,
+    percent: int = 0,
+    rounds: int = 2,
 ) -> tuple[DataFrame, DataFrame]:
     """Links and components of classes that share bucket keys and pass ``verify``.
 
     ``classes`` has one row per class: ``node`` long, ``keys`` array<long>, and ``sig`` array<long> of ``words``
-    longs where ``words`` is not 0. ``verify`` keeps those rows of (a, b) that are links. Returns links (a, b)
-    and (node, root) of linked nodes.
+    longs where ``words`` is not 0. ``verify`` keeps those rows of (a, b) that are links: 100 * common >= ``percent`` *
+    union of their sets. ``contents`` gives the sets of some nodes as rows (node, item), and ``classes`` then has their
+    sizes as ``n``. Returns links (a, b) and (node, root) of linked nodes.
     """
     spark = classes.sparkSession
     rows = classes.select(F.explode(F.array_distinct("keys")).alias("key"), "node")
@@ -125,12 +142,18 @@ def link_classes(
     at = materialise(rooted(), "rooted")
     mixed = at.join(at.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1"), "key")
     mixed = mixed.select("key", "node", "root")
+    if contents:
+        mixed = materialise(_with_shared(mixed, classes, contents, percent), "mixed")
+        mixed = mixed.join(mixed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key"), "key")
     if words:
         mixed = mixed.join(sigs, "node")
     x, y = mixed.alias("x"), mixed.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
     if words:
         apart &= hamming_lanes(F.col("x.sig"), F.col("y.sig"), words) <= max_distance
+    if contents:
+        common = F.least("x.shared", "y.shared")
+        apart &= 100 * common >= percent * (F.col("x.n") + F.col("y.n") - common)
     rest = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     rest = materialise(rest.join(done, ["a", "b"], "left_anti"), "pairs")
     links = links.union(materialise(verify(rest), "links"))

@@ -32,6 +32,7 @@ from fraudlane.llm.linking import link_classes
 from fraudlane.scratch import materialise
 
 LANES = 64
+_NO_ID = -(1 << 63)
 MAX_DISTANCE = 20
 CHUNKS = [(6 * i, 6, 1) for i in range(10)] + [(60, 4, 0)]
 assert sum(errors + 1 for _, _, errors in CHUNKS) >= MAX_DISTANCE + 1
@@ -96,17 +97,32 @@ def _index(size: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array(np.array(distinct, dtype=np.int64)),
                         pa.array(node.view(np.int64)),
                         ta.list_column(keys.view(np.int64).ravel(), edge * keys.shape[1]),
                         ta.list_column(signature.view(np.int64).ravel(), edge * (LANES // 8)),
                     ],
-                    ["doc_id", "n_shingles", "node", "keys", "sig"],
+                    ["doc_id", "fp", "n_shingles", "node", "keys", "sig"],
                 )
 
     return run
 
 
+def _items(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in ta.slices(batch, "text"):
+                words = ta.find_words(*ta.text_buffer(part.column(1)), ta.NOT_SPACE, lower=True)
+                values, bounds = shingles(words, size)
+                sets = [np.unique(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                node = part.column(0).take(pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+                items = np.concatenate([np.zeros(0, dtype=np.uint64), *sets])
+                yield pa.RecordBatch.from_arrays([node, pa.array(items.view(np.int64))], ["node", "item"])
+
+    return run
+
+
 def _verified(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,29 +147,37 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     Two documents are linked when 100 * |intersection| >= ``percent`` * |union| of their shingle sets;
     ``component_id`` is the smallest ``doc_id`` reachable over links.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
+    # An id with the hash of its text names a row's text even where ids repeat.
+    docs = docs.withColumn("fp", F.xxhash64("text"))
     indexed = materialise(
-        docs.mapInArrow(_index(shingle_words), "doc_id long, n_shingles long, node long, keys array<long>, sig array<long>"),
+        docs.mapInArrow(_index(shingle_words), "doc_id long, fp long, n_shingles long, node long, keys array<long>, sig array<long>"),
         "shingle_index",
     )
     filled = indexed.where("n_shingles > 0")
-    classes = materialise(filled.select("node", "doc_id", "keys", "sig").dropDuplicates(["node"]), "classes")
+    classes = materialise(filled.selectExpr("node", "doc_id", "fp", "n_shingles AS n", "keys", "sig").dropDuplicates(["node"]), "classes")
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """(node, text): the text of one row of each class is read again."""
+        return docs.join(classes.join(nodes, "node").select("node", "doc_id", "fp"), ["doc_id", "fp"]).select("node", "text")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """Reads the texts of the pairs again; one row of each class stands for it."""
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        texts = docs.join(classes.join(wanted, "node").select("node", "doc_id"), "doc_id").dropDuplicates(["node"])
-        texts = materialise(texts.select("node", "text"), "texts")
+        texts = materialise(texts_of(wanted), "texts")
         for x in "ab":
             pairs = pairs.join(texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")), x)
         return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(shingle_words, percent), "a long, b long")
 
-    _, roots = link_classes(classes.select("node", "keys", "sig"), verify, LANES // 8, MAX_DISTANCE)
-    least = filled.groupBy("node").agg(F.min("doc_id").alias("least"))
+    def contents(nodes: DataFrame) -> DataFrame:
+        return texts_of(nodes).mapInArrow(_items(shingle_words), "node long, item long")
+
+    _, roots = link_classes(classes, verify, LANES // 8, MAX_DISTANCE, contents, percent)
+    given = F.nullif("doc_id", F.lit(_NO_ID))
+    least = filled.groupBy("node").agg(F.min(given).alias("least"))
     rooted = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))
     named = materialise(rooted.join(first, "root").select("node", "first"), "component_ids")
-    out = indexed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
+    out = indexed.select(given.alias("doc_id"), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     return out.join(named, "node", "left").select(
         "doc_id",
         "n_shingles",
