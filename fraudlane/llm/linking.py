@@ -65,96 +65,108 @@ def hamming_lanes(left: Column, right: Column, words: int) -> Column:
     return total
 
 
-def _with_shared(mixed: DataFrame, classes: DataFrame, contents: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Adds ``n`` and ``shared``, the items that any other node here has; drops nodes that can have no link.
+Step = Callable[[DataFrame], DataFrame]
+
+
+def _with_shared(mixed: DataFrame, store: DataFrame, contents: Step, percent: int) -> DataFrame:
+    """Adds ``n``, a set's size, and ``shared``, its items that any other node here has; drops nodes without a chance.
 
     Two sets have at most the smaller ``shared`` in common, which bounds their similarity without comparing them. In
     a group of altered copies most alterations are a copy's own, so the bound is close to the truth.
     """
-    nodes = materialise(mixed.select("node").distinct(), "nodes")
-    own = contents(nodes).groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("c")).where("c = 1")
-    own = own.groupBy("node").agg(F.count("*").alias("own"))
-    shared = classes.select("node", "n").join(nodes, "node").join(own, "node", "left")
-    shared = shared.select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
-    return mixed.join(shared.where(100 * F.col("shared") >= percent * F.col("n")), "node")
+    nodes = mixed.select("node").distinct()
+    sets = materialise(contents(store.join(nodes, "node", "left_semi")), "sets")
+    own = sets.select("node", F.explode("items").alias("item")).groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("c"))
+    own = own.where("c = 1").groupBy("node").agg(F.count("*").alias("own"))
+    sizes = sets.select("node", F.size("items").cast("long").alias("n")).join(own, "node", "left")
+    sizes = sizes.select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+    return mixed.join(sizes.where(100 * F.col("shared") >= percent * F.col("n")), "node")
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component."""
+    ends = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+    return rooted.join(ends.where("r0 < r1").select("key"), "key")
 
 
 def link_classes(
     classes: DataFrame,
-    verify: Callable[[DataFrame], DataFrame],
+    texts: Step,
+    verify: Step,
+    contents: Step,
+    percent: int,
     words: int = 0,
     max_distance: int = 0,
-    contents: Callable[[DataFrame], DataFrame] | None = None,
-    percent: int = 0,
     rounds: int = 2,
 ) -> tuple[DataFrame, DataFrame]:
-    """Links and components of classes that share bucket keys and pass ``verify``.
+    """Links and components of classes whose sets have 100 * common >= ``percent`` * union and that share a key.
 
-    ``classes`` has one row per class: ``node`` long, ``keys`` array<long>, and ``sig`` array<long> of ``words``
-    longs where ``words`` is not 0. ``verify`` keeps those rows of (a, b) that are links: 100 * common >= ``percent`` *
-    union of their sets. ``contents`` gives the sets of some nodes as rows (node, item), and ``classes`` then has their
-    sizes as ``n``. Returns links (a, b) and (node, root) of linked nodes.
+    ``classes`` has ``node`` long, ``keys`` array<long>, and ``sig`` array<long> of ``words`` longs where ``words`` is
+    not 0; without ``sig`` a node may stand in several equal rows. ``texts`` gives (node, text) of the nodes passed,
+    one row each; it is called once, for the nodes that share a key with another. ``verify`` keeps (a, b) of those
+    rows of (a, b, text_a, text_b) that are links, and ``contents`` makes (node, items) of (node, text).
+
+    Leftover pairs are compared if their signatures differ in at most ``max_distance`` bytes (where there are
+    signatures) and the bound of ``_with_shared`` allows a link. Returns links (a, b) and (node, root) of linked nodes.
     """
     spark = classes.sparkSession
     rows = classes.select(F.explode(F.array_distinct("keys")).alias("key"), "node")
     shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = materialise(rows.join(shared.select("key"), "key"), "members")
-    sigs = classes.select("node", "sig") if words else None
-    if words:
-        near = members.select("node").distinct()
-        sigs = materialise(sigs.join(near, "node", "left_semi"), "signatures")
-    done = spark.range(0).selectExpr("id AS a", "id AS b")
-    links, labels = done, spark.range(0).selectExpr("id AS node", "id AS root")
+    members = rows.join(shared.select("key"), "key")
+    members = materialise(members if words else members.distinct(), "members")
+    near = materialise(members.select("node").distinct(), "nodes")
+    store = materialise(texts(near), "texts")
+    sigs = materialise(classes.select("node", "sig").join(near, "node", "left_semi"), "signatures") if words else None
+    none = spark.range(0)
+    done = links = none.selectExpr("id AS a", "id AS b")
+    labels = none.selectExpr("id AS node", "id AS root")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        for x in "ab":
+            pairs = pairs.join(store.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")), x)
+        return materialise(verify(pairs.select("a", "b", "text_a", "text_b")), "links")
 
     def distance(pairs: DataFrame) -> DataFrame:
         """Adds ``far``: the signature distance, or a number that depends on the pair alone."""
         if not words:
             return pairs.withColumn("far", F.xxhash64("a", "b"))
         a, b = (sigs.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-        return pairs.join(a, "a").join(b, "b").withColumn("far", hamming_lanes(F.col("sig_a"), F.col("sig_b"), words)).drop("sig_a", "sig_b")
+        far = hamming_lanes(F.col("sig_a"), F.col("sig_b"), words)
+        return pairs.join(a, "a").join(b, "b").withColumn("far", far).drop("sig_a", "sig_b")
 
     def rooted() -> DataFrame:
-        return members.join(labels.withColumnRenamed("root", "r"), "node", "left").select("key", "node", F.coalesce("r", "node").alias("root"))
+        named = members.join(labels.withColumnRenamed("root", "r"), "node", "left")
+        return named.select("key", "node", F.coalesce("r", "node").alias("root"))
 
     for turn in range(rounds):
-        at = materialise(rooted(), "rooted") if turn else rooted()
-        order = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
-        # Two leads for each bucket that still holds different components; a member is compared with one of another.
-        ends = at.withColumn("o", order).groupBy("key").agg(
-            F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("o").alias("o0"), F.max("o").alias("o1")
-        ).where("r0 < r1")
-        mixed = at.join(ends, "key").withColumn("o", order)
-        leads = mixed.where("o = o0 OR o = o1").select("key", F.col("node").alias("lead"), F.col("root").alias("lead_root"))
+        at = materialise(_mixed(rooted()), "mixed") if turn else rooted()
+        at = at.withColumn("o", F.xxhash64("node", F.lit(turn)) if turn else F.col("node"))
+        # Two leads for each bucket; a member is compared with the nearest lead of another component.
+        ends = at.groupBy("key").agg(F.min("o").alias("o0"), F.max("o").alias("o1"))
+        leads = at.join(ends, "key").where("o = o0 OR o = o1").select("key", F.col("node").alias("lead"), F.col("root").alias("lead_root"))
         pairs = (
-            mixed.select("key", "node", "root").join(leads, "key").where("root <> lead_root")
+            at.join(leads, "key").where("root <> lead_root")
             .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"), F.col("node").alias("own"))
             .distinct()
-        )
+        )
         if turn:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         best = distance(pairs).groupBy("own").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
         best = materialise(best, "pairs")
-        found = materialise(verify(best), "links")
+        found = linked(best)
         done, links = done.union(best), links.union(found)
         labels = connected_components(links)
-        if found.isEmpty():
-            break
-    at = materialise(rooted(), "rooted")
-    mixed = at.join(at.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1"), "key")
-    mixed = mixed.select("key", "node", "root")
-    if contents:
-        mixed = materialise(_with_shared(mixed, classes, contents, percent), "mixed")
-        mixed = mixed.join(mixed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key"), "key")
+    mixed = materialise(_with_shared(_mixed(rooted()), store, contents, percent), "mixed")
+    mixed = _mixed(mixed)
     if words:
         mixed = mixed.join(sigs, "node")
     x, y = mixed.alias("x"), mixed.alias("y")
+    common = F.least("x.shared", "y.shared")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+    apart &= 100 * common >= percent * (F.col("x.n") + F.col("y.n") - common)
     if words:
         apart &= hamming_lanes(F.col("x.sig"), F.col("y.sig"), words) <= max_distance
-    if contents:
-        common = F.least("x.shared", "y.shared")
-        apart &= 100 * common >= percent * (F.col("x.n") + F.col("y.n") - common)
     rest = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     rest = materialise(rest.join(done, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(materialise(verify(rest), "links"))
+    links = links.union(linked(rest))
     return links, connected_components(links)

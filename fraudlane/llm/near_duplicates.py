@@ -116,9 +116,9 @@ def _items(size: int):
                 words = ta.find_words(*ta.text_buffer(part.column(1)), ta.NOT_SPACE, lower=True)
                 values, bounds = shingles(words, size)
                 sets = [np.unique(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                node = part.column(0).take(pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
-                items = np.concatenate([np.zeros(0, dtype=np.uint64), *sets])
-                yield pa.RecordBatch.from_arrays([node, pa.array(items.view(np.int64))], ["node", "item"])
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+                items = ta.list_column(np.concatenate(sets).view(np.int64), ends)
+                yield pa.RecordBatch.from_arrays([part.column(0), items], ["node", "items"])
 
     return run
 
@@ -155,23 +155,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         "shingle_index",
     )
     filled = indexed.where("n_shingles > 0")
-    classes = materialise(filled.selectExpr("node", "doc_id", "fp", "n_shingles AS n", "keys", "sig").dropDuplicates(["node"]), "classes")
+    classes = materialise(filled.selectExpr("node", "doc_id", "fp", "keys", "sig").dropDuplicates(["node"]), "classes")
 
-    def texts_of(nodes: DataFrame) -> DataFrame:
-        """(node, text): the text of one row of each class is read again."""
-        return docs.join(classes.join(nodes, "node").select("node", "doc_id", "fp"), ["doc_id", "fp"]).select("node", "text")
+    def texts(nodes: DataFrame) -> DataFrame:
+        """The text of one row of each class is read again."""
+        places = classes.join(nodes, "node").select("node", "doc_id", "fp")
+        return docs.join(places, ["doc_id", "fp"]).select("node", "text").dropDuplicates(["node"])
 
     def verify(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        texts = materialise(texts_of(wanted), "texts")
-        for x in "ab":
-            pairs = pairs.join(texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")), x)
-        return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(shingle_words, percent), "a long, b long")
+        return pairs.mapInArrow(_verified(shingle_words, percent), "a long, b long")
 
     def contents(nodes: DataFrame) -> DataFrame:
-        return texts_of(nodes).mapInArrow(_items(shingle_words), "node long, item long")
+        return nodes.mapInArrow(_items(shingle_words), "node long, items array<long>")
 
-    _, roots = link_classes(classes, verify, LANES // 8, MAX_DISTANCE, contents, percent)
+    _, roots = link_classes(classes, texts, verify, contents, percent, LANES // 8, MAX_DISTANCE)
     given = F.nullif("doc_id", F.lit(_NO_ID))
     least = filled.groupBy("node").agg(F.min(given).alias("least"))
     rooted = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
