@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlane.llm.decontaminate import scan_contamination
+from fraudlane.llm.fuzzy_lines import dedup_lines
 from fraudlane.llm.html_text import extract_main_text
 from fraudlane.llm.language_id import language_of_documents
 from fraudlane.llm.mixing import mix_sources
@@ -33,6 +34,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_of_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
@@ -55,7 +60,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_substring_dedup, op3_language_id, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op8_mixing, op10_warc)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_substring_dedup, op3_language_id, op4_line_dedup, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op8_mixing, op10_warc)}
 
 
 #: Equal payloads are grouped by themselves here, not by their digests.
