@@ -124,8 +124,11 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Writes ``pages`` (page_id, url, html) as archives of about ``archive_bytes`` of payload below ``path``."""
     rows = with_revisits(pages)
-    head = pages.where("html IS NOT NULL").orderBy(F.xxhash64("page_id"), "page_id").select("url", F.substring("html", 1, SAMPLE_BYTES).alias("html"))
-    samples = [record(0, r.url, r.html.encode(), "0" * 64, None) for r in head.limit(SAMPLE_RECORDS).collect()]
+    # The ids are picked first, so that tasks send no more html to the driver than the sample holds.
+    chosen = pages.select(F.col("page_id").alias("id")).where("id IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_RECORDS)
+    some = pages.join(F.broadcast(chosen.distinct()), F.col("page_id") == F.col("id"), "left_semi").where("html IS NOT NULL")
+    some = some.select("url", F.substring("html", 1, SAMPLE_BYTES).alias("html")).limit(SAMPLE_RECORDS)
+    samples = sorted(record(0, r.url, r.html.encode(), "0" * 64, None) for r in some.collect())
     dictionary = build_dictionary(samples)
     size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     parts = max(1, -(-size // archive_bytes))
