@@ -14,6 +14,7 @@ from fraudlane.llm.language_id import language_of_documents
 from fraudlane.llm.mixing import mix_sources
 from fraudlane.llm.near_duplicates import near_duplicates
 from fraudlane.llm.quality_crf import quality_scores
+from fraudlane.llm.quality_rules import quality_rules
 from fraudlane.llm.sentence_spans import remove_repeated_passages
 from fraudlane.llm.warc import archive_round_trip
 
@@ -55,12 +56,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_substring_dedup, op3_language_id, op4_line_dedup, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op8_mixing, op10_warc)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_substring_dedup, op3_language_id, op4_line_dedup, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op8_mixing, op9_quality_rules, op10_warc)}
 
 
 #: Equal payloads are grouped by themselves here, not by their digests.
