@@ -1,24 +1,67 @@
-"""Stages that turn the documents table into a training corpus."""
+"""Stages that turn the documents table into a training corpus.
+
+Each stage gets what the stage before it kept and returns the columns of documents; the last returns one row for each
+draw of the mix, with the copy's number and the output shard. ``run`` writes each stage to the shared folder and goes
+on from there, so a lost executor costs at most one stage's tasks.
+
+A document that line deduplication leaves without any line is dropped: all of it stands elsewhere. Documents that came
+in without text are judged by the quality classifier like any other. Extra columns of documents are left out.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fraudlane.llm.near_duplicates import near_duplicates
+from fraudlane.llm.decontaminate import remove_contaminated
+from fraudlane.llm.fuzzy_lines import dedup_lines
+from fraudlane.llm.mixing import mix_sources, write_order
+from fraudlane.llm.near_duplicates import drop_near_duplicates
+from fraudlane.llm.quality_crf import THRESHOLD, score_quality, train
 from fraudlane.scratch import materialise
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: The stages learn, link and permute; none of that has an SQL form.
 ORACLE_SQL = None
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier rejects go."""
+    chain = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_quality(docs.select(*COLUMNS), chain).where(F.col("crf_score") >= THRESHOLD).select(*COLUMNS)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of equal or nearly equal lines the first stays; n_chars follows the text."""
+    left = dedup_lines(docs, tuple(c for c in COLUMNS if c != "text"))
+    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S")
+    return left.where(~emptied).withColumn(
+        "n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
+    ).select(*COLUMNS)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return drop_near_duplicates(docs.select(*COLUMNS))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return remove_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for each draw."""
+    return write_order(mix_sources(docs, carry=COLUMNS))
 
 
-STAGES = [("near_duplicates", near_duplicate_stage)]
+STAGES = [
+    ("quality", quality_stage),
+    ("lines", line_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ target 0. Extra columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,21 +31,22 @@ from fraudlane.scratch import materialise
 
 WEIGHTS = (3, 1, 2)
 BUDGET, MAX_REPEAT = 1.5, 2
-SHARDS = 32
+SHARD_WORDS = 4_000_000
 BLOCK_WORDS, BLOCK_DOCS, MAX_BLOCKS = 100_000, 1_000, 1 << 16
 SEED = "mix"
 _WORD = r"[^\x20\x09-\x0D]+"
 _SPREAD = 10  # standard deviations kept on each side of a draw's mean; less than 1e-22 lies outside
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size and the permutation key, below 2**60."""
+def sized(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, source, size and the permutation key, below 2**60; then columns of ``docs``."""
     name = F.concat(F.lit(f"{SEED} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"),
         F.conv(F.substring(F.md5(name.cast("binary")), 1, 15), 16, 10).cast("long").alias("key"),
+        *more,
     )
 
 
@@ -148,14 +151,23 @@ def split_quotas(quotas: DataFrame, shards: int) -> DataFrame:
 
 
 def mix_sources(
-    docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_repeat: int = MAX_REPEAT, shards: int = SHARDS
+    docs: DataFrame,
+    weights=WEIGHTS,
+    budget: float = BUDGET,
+    max_repeat: int = MAX_REPEAT,
+    shard_words: int = SHARD_WORDS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """The mix: for every row of ``docs`` (doc_id, text, source) its size, its source's size and target, and its draws.
 
     ``draws`` has (copy, shard, place) for each time the mix takes the document: write shard by shard, ordered by place.
+    There is a power of two of shards, so many that one has at most ``shard_words`` on average. ``own`` holds the columns
+    ``carry`` of ``docs``.
     """
     rows = materialise(sized(docs), "mix_sizes")
     targets = materialise(source_targets(rows, weights, budget, max_repeat), "mix_targets")
+    words = targets.agg(F.sum("target")).first()[0] or 0
+    shards = 1 << math.ceil(math.log2(max(1.0, words / shard_words)))
     n_blocks = F.greatest(
         F.lit(1), F.least(F.lit(MAX_BLOCKS), F.ceil(F.greatest(F.col("source_size") / BLOCK_WORDS, F.col("n_docs") / BLOCK_DOCS)))
     )
@@ -164,7 +176,11 @@ def mix_sources(
     plan = plan.withColumn("partial", F.col("target") - F.col("passes") * F.col("source_size"))
     plan = plan.withColumnRenamed("source", "of")
     block = F.least(F.floor(F.col("key") / float(1 << 60) * F.col("n_blocks")), F.col("n_blocks") - 1).cast("long")
-    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).withColumn("block", block)
+
+    def in_blocks(sized_rows: DataFrame) -> DataFrame:
+        return sized_rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).withColumn("block", block)
+
+    placed = in_blocks(rows)
     sums = placed.groupBy("rank", "block").agg(
         F.sum("size").alias("words"), F.first("partial").alias("partial"), F.first("passes").alias("passes")
     )
@@ -183,6 +199,9 @@ def mix_sources(
     )
     homes = materialise(blocks.join(homes, ["rank", "block"], "left"), "mix_homes")
     order = Window.partitionBy("rank", "block").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    if carry:
+        # The text is read again and goes with its row, so that rows need not be found again by an id.
+        placed = in_blocks(sized(docs, F.struct(*carry).alias("own")))
     full = placed.join(homes.select("rank", "block", "before", "homes"), ["rank", "block"])
     full = full.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
     # The document nearest to the end of the partial pass is its last.
@@ -192,5 +211,14 @@ def mix_sources(
         lambda x: F.struct(x["copy"].alias("copy"), x["shard"].alias("shard"), F.xxhash64(F.lit(SEED), F.col("key"), x["copy"]).alias("place")),
     )
     return full.withColumn("times", times).select(
-        "doc_id", "size", "source_size", "target", F.coalesce(place, F.array().cast("array<struct<copy:bigint,shard:int,place:bigint>>")).alias("draws")
+        "doc_id", "size", "source_size", "target", F.coalesce(place, F.array().cast("array<struct<copy:bigint,shard:int,place:bigint>>")).alias("draws"), *(["own"] if carry else [])
     )
+
+
+def write_order(mix: DataFrame) -> DataFrame:
+    """One row for each draw: the carried columns, copy and shard; a shard is one partition, ordered by place."""
+    each = mix.select("own.*", F.explode("draws").alias("draw"))
+    each = each.select(*mix.select("own.*").columns, "draw.copy", "draw.shard", "draw.place")
+    n = F.max("shard") + 1
+    shards = mix.select(F.explode("draws.shard").alias("shard")).agg(n).first()[0] or 1
+    return each.repartition(shards, "shard").sortWithinPartitions("shard", "place").drop("place")

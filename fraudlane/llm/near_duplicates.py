@@ -142,7 +142,7 @@ def _verified(size: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, kept and a hash of the text, ``fp``, for every row of ``docs`` (doc_id, text).
 
     Two documents are linked when 100 * |intersection| >= ``percent`` * |union| of their shingle sets;
     ``component_id`` is the smallest ``doc_id`` reachable over links.
@@ -174,10 +174,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     rooted = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))
     named = materialise(rooted.join(first, "root").select("node", "first"), "component_ids")
-    out = indexed.select(given.alias("doc_id"), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
+    out = indexed.select(given.alias("doc_id"), "fp", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     return out.join(named, "node", "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("first", "doc_id").alias("component_id"),
         F.coalesce(F.col("first") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        "fp",
     )
+
+
+def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without rows that are near copies of a document with a smaller id; all columns stay."""
+    gone = near_duplicates(docs, shingle_words, percent).where("NOT kept").select(F.col("doc_id").alias("id"), "fp").distinct()
+    gone = materialise(gone, "near_copies")
+    return docs.join(gone, (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("fp")), "left_anti")
