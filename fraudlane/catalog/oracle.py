@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from ..functions.features import FEATURE_COUNT, FEATURES, feature_names
 from ..functions.scoring import SINGLE_CUT, SUM_CUT, VOTES_NEEDED
+from ..plans.training import GRID_DEPTHS, GRID_TREES, SINGLE_TREES
 from ..plans.runs import SINGLE_CUTS, SUM_CUTS
-from ..plans.transactions import AMOUNT_CUTS, LABEL_AMOUNT_RANGE, LABEL_SUM, VECTOR_COUNT
+from ..plans.transactions import AMOUNT_CUTS, LABEL_AMOUNT_RANGE, LABEL_SUM
 from . import queries as q
 
 _RANGES = " ".join(
@@ -33,7 +34,7 @@ with shaped as (
   from events
 ), featured as (
   select e.*, {_PCA}
-  from shaped e join embeddings b on e.id % {VECTOR_COUNT} = b.vec_id
+  from shaped e join embeddings b on e.id % (select count(*) from embeddings) = b.vec_id
 ), txn as (
   select *, cast(case when pca0 + pca1 > {LABEL_SUM} and amountRange >= {LABEL_AMOUNT_RANGE}
                  then 1 else 0 end as int) as label
@@ -109,14 +110,18 @@ def _runs(source: str, by: str = "") -> str:
 _WRONG = "gold p join txn v on p.id = v.id where p.prediction <> v.label"
 _GOLD = "select id, \"time\", amountRange, prediction from gold"
 _TEST_ROWS = f"(select * from txn where {_part(q.TRAIN_TEST, q.TRAIN_TEST_SEED)} = 'test')"
+_TEST_LABELS = f"select label, count(*) as n_rows, 0::bigint as n_out_of_range, 0::bigint as n_changed from {_TEST_ROWS} group by label"
+_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+)
 _LINES = "(select l_quantity, l_extendedprice from lineitem)"
 _IN_RANGE = f"l_quantity between {q.CARAT_LOW} and {q.CARAT_HIGH}"
 
 
 def _pairs() -> str:
     rows = []
-    for i, a in enumerate(q.PAIR_FEATURES):
-        for b in q.PAIR_FEATURES[i + 1 :]:
+    for i, a in enumerate(FEATURES):
+        for b in FEATURES[i + 1 :]:
             rows.append(
                 f"select label, '{a}' as column_a, '{b}' as column_b, "
                 f"round(corr({a}, {b}), 6) as correlation from txn group by label"
@@ -176,6 +181,9 @@ def oracle_queries() -> dict[str, str]:
             cast(p."time" as varchar) as "time", cast(p.amountRange as varchar) as amountRange from {_WRONG}""",
         "kv_lookup_column": f"""select cast(p.id as varchar) as row_key,
             cast(p.amountRange as varchar) as amountRange from {_WRONG}""",
+        "kv_row": f"""select cast(id as varchar) as row_key, cast(prediction as varchar) as prediction,
+            cast("time" as varchar) as "time", cast(amountRange as varchar) as amountRange
+            from gold where id = {q.SCORE_ABOVE_ID}""",
         "kv_count": "select count(distinct id) as n_rows from gold",
         "flatten_features": f'select "time", amountRange, label, {_renamed("flattened")} from txn',
         "valid_labels": 'select id, "time", amountRange, label from txn',
@@ -216,9 +224,9 @@ def oracle_queries() -> dict[str, str]:
         "imbalance": """select count(*) as n_rows, cast(sum(label) as bigint) as n_positive,
             round(avg(label) * 100.0::double, 3) as positive_percent from txn""",
         "pairwise_corr": _pairs(),
-        "random_sample": f"""select id, label, {", ".join(q.PAIR_FEATURES)} from txn
+        "random_sample": f"""select id, label, {", ".join(FEATURES)} from txn
             order by {_by_digest(q.SAMPLE_SEED)} limit {q.MIXED_ROWS}""",
-        "stratified_sample": f"""select id, label, {", ".join(q.PAIR_FEATURES)} from (
+        "stratified_sample": f"""select id, label, {", ".join(FEATURES)} from (
             (select * from txn order by {_by_digest(q.SAMPLE_SEED)} limit {q.MIXED_ROWS}) union all
             (select * from txn where label = 1 order by {_by_digest(q.SAMPLE_SEED)} limit {q.FRAUD_ROWS}))""",
         "hash_split": f"select id, label, {_part(q.TRAIN_TEST, q.TRAIN_TEST_SEED)} as part from txn",
@@ -228,6 +236,15 @@ def oracle_queries() -> dict[str, str]:
              order by id limit {q.SCORING_ROWS}) union all
             (select * from txn where {_part(q.HOLDOUT, q.HOLDOUT_SEED)} = 'test' and label = 1
              order by id limit {q.SCORING_ROWS}))""",
+        "rf_predictions": _TEST_LABELS,
+        "rf_probability": _TEST_LABELS,
+        "grid_runs": f"""select 'depth' || lpad(d::varchar, 2, '0') || '_trees' || lpad(t::varchar, 3, '0') as run_key,
+            d as max_depth, t as n_estimators, n_negative, n_positive, 0 as n_beyond
+            from (select unnest([{", ".join(map(str, GRID_DEPTHS))}]) as d), (select unnest([{", ".join(map(str, GRID_TREES))}]) as t),
+              (select count(*) filter (where label = 0) as n_negative, count(*) filter (where label = 1) as n_positive
+               from {_TEST_ROWS})""",
+        "model_chain": f"""select count(*) as n_rows, 0::bigint as n_out_of_range,
+            {len(GRID_DEPTHS) * len(GRID_TREES)}::bigint as n_runs, 1 as version, 'Production' as stage from txn""",
         "model_round_trip": f"select count(*) as n_rows, 0::bigint as n_different from {_TEST_ROWS}",
         "model_sql_scores": f"select count(*) as n_rows, 0::bigint as n_different from {_TEST_ROWS}",
         "schema_contract": f"select id, {_FEATURE_LIST} from txn",
@@ -251,10 +268,16 @@ def oracle_queries() -> dict[str, str]:
     on_txn["high_value_fraud_udf"] = on_txn["high_value_fraud"]
     on_txn["mispredictions_bucketed"] = on_txn["mispredictions"]
     direct = {
+        "file_inventory": f"""select unnest(string_split('{_TABLES}', ' ')) as table_name, 1::bigint as n_files,
+            0::bigint as n_empty""",
+        "table_detail": "select 'parquet' as format, 1::bigint as n_files, 1 as found",
+        "feature_importance": f"""select unnest(['{"', '".join(FEATURES)}']) as feature, 1 as agrees""",
+        "tree_nodes": f"""select unnest(range({SINGLE_TREES}))::int as tree_id, 1::bigint as n_roots, 1::bigint as leaf_excess,
+            0::bigint as n_dangling""",
         "csv_range_scan": f"select l_quantity as carat, l_extendedprice as price from {_LINES} where {_IN_RANGE}",
         "explicit_schema_rows": """select cast(c_custkey as int) as "CustomerID",
             split_part(c_name, '#', 1) as "FirstName", split_part(c_name, '#', 2) as "LastName" from customer""",
-        "external_table_scan": "select event_id, user_id, event_type, value, props from events",
+        "external_table_scan": "select * from events",
         "namespace_names": f"""select c_custkey, user_name, database_name,
             substr(split_part(database_name, '_', 1), 1, 1) || substr(split_part(database_name, '_', 2), 1, 1)
               || '_catalog' as catalog_name

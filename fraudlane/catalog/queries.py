@@ -32,11 +32,10 @@ SAMPLE_SEED, MIXED_ROWS, FRAUD_ROWS, SCORING_ROWS = 7, 100, 50, 5
 PREVIEW_ROWS = 10
 FIRST_ROW, LAST_ROW = 0, 5
 SCORE_ABOVE_ID = 33
-WAREHOUSE_LAST_ID = 50_000
+WAREHOUSE_LAST_ID = 5_000
 HIGH_AMOUNT_RANGE = 6
 CARAT_LOW, CARAT_HIGH = 10.0, 40.0
 X_WIDTH, Y_WIDTH = 5.0, 10_000.0
-PAIR_FEATURES = feat.feature_names(count=6)
 BLOCK_ROWS, REQUEST_RECORDS, BATCH_ROWS = 1000, 100, 1000
 QUALIFIERS = ["prediction", "time", "amountRange"]
 FIRST_STAMP, SECOND_STAMP = 1_700_000_000_000_000, 1_700_000_060_000_000
@@ -134,8 +133,8 @@ def explicit_schema_rows(spark, sf_dir):
     parts = F.split("c_name", "#")
     named = customers.select(
         F.col("c_custkey").alias("CustomerID"),
-        parts.getItem(0).alias("FirstName"),
-        parts.getItem(1).alias("LastName"),
+        F.get(parts, F.lit(0)).alias("FirstName"),
+        F.get(parts, F.lit(1)).alias("LastName"),
     )
     return files.conform(named, CUSTOMER_SCHEMA)
 
@@ -155,14 +154,19 @@ def payload_rows(spark, sf_dir):
 
 @query
 def file_inventory(spark, sf_dir):
-    return files.list_files(spark, sf_dir)
+    """The files of each table, and whether all of them hold bytes."""
+    listed = files.list_files(spark, sf_dir)
+    name = F.regexp_extract("path", r"/([^/]+)\.parquet(?:/[^/]*)?$", 1)
+    return listed.groupBy(name.alias("table_name")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("length") <= 0).alias("n_empty")
+    )
 
 
 @query
 def external_table_scan(spark, sf_dir):
     table = f"{tables.create_database(spark)}.events"
     stored = tables.external_table(spark, table, f"{sf_dir}/events.parquet")
-    return stored.select("event_id", "user_id", "event_type", "value", "props")
+    return stored
 
 
 # Sinks and tables
@@ -182,10 +186,7 @@ def silver(spark, sf_dir):
 
 @query
 def gold(spark, sf_dir):
-    score = scoring.vote_struct_udf()
-    return medallion.build_gold(
-        transactions(spark, sf_dir), tables.create_database(spark), score(feat.feature_struct())
-    )
+    return medallion.build_gold(transactions(spark, sf_dir), tables.create_database(spark))
 
 
 @query
@@ -241,7 +242,9 @@ def predictions_view(spark, sf_dir):
 def table_detail(spark, sf_dir):
     table = f"{tables.create_database(spark)}.events"
     tables.external_table(spark, table, f"{sf_dir}/events.parquet")
-    return tables.table_detail(spark, table)
+    detail = tables.table_detail(spark, table)
+    found = F.col("location").endswith("/events.parquet") & (F.col("size_bytes") > 0)
+    return detail.select("format", "n_files", found.cast("int").alias("found"))
 
 
 # Keyed export
@@ -298,6 +301,12 @@ def _mispredicted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrong.select(F.col("id").cast("string").alias("row_key"))
 
 
+@query
+def kv_row(spark, sf_dir):
+    """One row by its key: of the bucketed cells, only the key's bucket is read."""
+    return _filled_store(spark, sf_dir).row(str(SCORE_ABOVE_ID), QUALIFIERS)
+
+
 @query
 def kv_lookup(spark, sf_dir):
     return _filled_store(spark, sf_dir).rows(QUALIFIERS, _mispredicted_keys(spark, sf_dir))
@@ -390,7 +399,7 @@ def rows_to_columns(spark, sf_dir):
 @query
 def payload_response(spark, sf_dir):
     requests = payload.build_requests(transactions(spark, sf_dir), REQUEST_RECORDS)
-    return payload.respond(requests, scoring.vote_sql)
+    return payload.respond(requests, lambda *fields: scoring.vote_sql(*fields[:2]))
 
 
 @query
@@ -446,17 +455,18 @@ def score_warehouse(spark, sf_dir):
 
 @query
 def gold_fraud(spark, sf_dir):
-    return _predictions(spark, sf_dir).where(F.col("prediction") == 1)
+    """Read from the stored table, where the condition reaches the files."""
+    return gold(spark, sf_dir).where(F.col("prediction") == 1)
 
 
 @query
 def gold_clean(spark, sf_dir):
-    return _predictions(spark, sf_dir).where(F.col("prediction") == 0)
+    return gold(spark, sf_dir).where(F.col("prediction") == 0)
 
 
 @query
 def high_value_fraud(spark, sf_dir):
-    flagged = _predictions(spark, sf_dir).where(
+    flagged = gold(spark, sf_dir).where(
         (F.col("amountRange") > HIGH_AMOUNT_RANGE) & (F.col("prediction") == 1)
     )
     return flagged.select("id", "time", "amountRange")
@@ -565,7 +575,7 @@ def scatter_bins(spark, sf_dir):
 
 @query
 def pairwise_corr(spark, sf_dir):
-    return explore.pairwise_correlation(transactions(spark, sf_dir), PAIR_FEATURES)
+    return explore.pairwise_correlation(transactions(spark, sf_dir), feat.FEATURES)
 
 
 # Samples, splits and unions
@@ -574,13 +584,13 @@ def pairwise_corr(spark, sf_dir):
 @query
 def random_sample(spark, sf_dir):
     rows = sampling.random_rows(transactions(spark, sf_dir), MIXED_ROWS, SAMPLE_SEED)
-    return rows.select("id", "label", *PAIR_FEATURES)
+    return rows.select("id", "label", *feat.FEATURES)
 
 
 @query
 def stratified_sample(spark, sf_dir):
     sample = sampling.mixed_sample(transactions(spark, sf_dir), MIXED_ROWS, FRAUD_ROWS, SAMPLE_SEED)
-    return sample.select("id", "label", *PAIR_FEATURES)
+    return sample.select("id", "label", *feat.FEATURES)
 
 
 @query
@@ -604,6 +614,10 @@ def scoring_sample(spark, sf_dir):
 # Training, runs and versions
 
 
+def _train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.split(transactions(spark, sf_dir), TRAIN_TEST, TRAIN_TEST_SEED)["train"]
+
+
 def _train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     parts = sampling.split(transactions(spark, sf_dir), TRAIN_TEST, TRAIN_TEST_SEED)
     return training.training_frame(parts["train"]), parts["test"]
@@ -612,32 +626,61 @@ def _train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 @query
 def rf_predictions(spark, sf_dir):
     train, test = _train_and_test(spark, sf_dir)
-    return training.predict(training.fit_forest(train), test).select("id", "label", "prediction")
+    """For each label: test rows, scores that are no class, and scores that another fit changes."""
+    again = training.training_frame(_train_rows(spark, sf_dir).repartition(3, "amountRange"))
+    scored = training.predict(training.fit_forest(train), training.assemble(test))
+    scored = training.predict(training.fit_forest(again), scored, "refitted")
+    return scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~F.col("prediction").isin(0, 1)).alias("n_out_of_range"),
+        F.count_if(F.col("prediction") != F.col("refitted")).alias("n_changed"),
+    )
 
 
 @query
 def rf_probability(spark, sf_dir):
     train, test = _train_and_test(spark, sf_dir)
-    scored = training.fraud_probability(training.fit_forest(train), test)
-    return scored.select("id", "label", "fraud_probability")
+    """For each label: test rows, probabilities out of range, and those that another fit changes."""
+    again = training.training_frame(_train_rows(spark, sf_dir).repartition(3, "amountRange"))
+    scored = training.fraud_probability(training.fit_forest(train), training.assemble(test))
+    scored = training.fraud_probability(training.fit_forest(again), scored, "refitted")
+    return scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~F.col("fraud_probability").between(0, 1)).alias("n_out_of_range"),
+        F.count_if(F.abs(F.col("fraud_probability") - F.col("refitted")) > 1e-9).alias("n_changed"),
+    )
 
 
 @query
 def grid_runs(spark, sf_dir):
+    """Nine runs with the label totals of the rows they were evaluated on, and rates beyond 0 to 100."""
     train, test = _train_and_test(spark, sf_dir)
-    return training.evaluate_models(training.fit_grid(train), test)
+    found = training.evaluate_models(training.fit_grid(train), test)
+    beyond = sum((~F.col(m).between(0, 100)).cast("int") for m in runs.METRICS)
+    return found.select("run_key", "max_depth", "n_estimators", "n_negative", "n_positive", beyond.alias("n_beyond"))
 
 
 @query
 def feature_importance(spark, sf_dir):
+    """Each feature, and whether the model's importance is the one its stored nodes give."""
     train, _ = _train_and_test(spark, sf_dir)
-    return training.feature_importance(training.fit_forest(train))
+    model = training.fit_forest(train)
+    stated = training.feature_importance(model, digits=12)
+    nodes = training.tree_nodes(spark, training.save_model(model))
+    names = F.array(*[F.lit(n) for n in feat.FEATURES])
+    counted = training.importance_from_nodes(nodes).select(
+        F.get(names, F.col("feature_index")).alias("feature"), F.col("importance").alias("counted")
+    )
+    both = stated.join(counted, "feature", "left")
+    agrees = F.abs(F.col("importance") - F.coalesce("counted", F.lit(0.0))) < 1e-9
+    return both.select("feature", agrees.cast("int").alias("agrees"))
 
 
 @query
 def tree_nodes(spark, sf_dir):
+    """The shape of each stored tree, from its node table."""
     train, _ = _train_and_test(spark, sf_dir)
-    return training.tree_nodes(spark, training.save_model(training.fit_forest(train))).drop("class_counts")
+    return training.tree_shapes(training.tree_nodes(spark, training.save_model(training.fit_forest(train))))
 
 
 @query
@@ -652,16 +695,41 @@ def model_round_trip(spark, sf_dir):
 
 @query
 def model_sql_scores(spark, sf_dir):
-    """A stored forest called from SQL scores every test row as the forest itself does."""
+    """A view over a stored forest, queried from SQL, scores every test row as the forest in memory does."""
     train, test = _train_and_test(spark, sf_dir)
     model = training.fit_forest(train)
     path = training.save_model(model)
-    function = scoring.register_scorer(spark, training.forest_udf(spark, path), unique_name("forest"))
-    view = tables.temp_view(training.predict(model, test, "transformed"))
-    scored = spark.sql(f"SELECT transformed, {scoring.sql_call(function)} AS called FROM {view}")
+    stored = tables.temp_view(training.predict_stored(spark, path, test, ["id"], "called"))
+    fresh = tables.temp_view(training.predict(model, test, "transformed"))
+    scored = spark.sql(f"SELECT f.transformed, s.called FROM {fresh} f LEFT JOIN {stored} s ON f.id = s.id")
     return training.compare_predictions(scored, F.col("transformed"), F.col("called"))
 
 
+@query
+def model_chain(spark, sf_dir):
+    """Grid, run log, best run, registration, promotion, and gold rows scored by the version in production."""
+    train, test = _train_and_test(spark, sf_dir)
+    models = training.fit_grid(train)
+    paths = {key: training.save_model(model) for key, model in models.items()}
+    database = tables.create_database(spark)
+    log = runs.RunLog.create(spark, f"{database}.runs")
+    log.append(
+        training.evaluate_models(models, test), "cc_fraud", "grid", ["max_depth", "n_estimators"], list(runs.METRICS), paths
+    )
+    versions = runs.ModelVersions.create(spark, f"{database}.stages")
+    best = log.best("cc_fraud", "grid").first()
+    version = versions.register("cc_fraud", best["run_key"])
+    versions.promote("cc_fraud", version)
+    path = versions.production_path("cc_fraud", log)
+    scored = training.predict_stored(spark, path, transactions(spark, sf_dir), ["id", "time", "amountRange"])
+    stored = medallion.build_gold(scored, database, F.col("prediction"))
+    n_runs = log.runs().agg(F.count(F.lit(1)).alias("n_runs"))
+    live = versions.production().select("version", "stage")
+    return stored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("prediction").isin(0, 1)).alias("n_out_of_range")
+    ).join(F.broadcast(n_runs)).join(F.broadcast(live))
+
+
 @query
 def schema_contract(spark, sf_dir):
     """Rows whose columns are reordered, retyped and too many, brought under a stored signature."""

@@ -40,10 +40,21 @@ def scatter_bins(df: DataFrame, x: str, y: str, x_width: float, y_width: float)
 def pairwise_correlation(
     df: DataFrame, columns: list[str], by: str = "label", digits: int = 6
 ) -> DataFrame:
-    """Correlation of each pair of columns in each group; one pass, merged before the shuffle."""
-    pairs = list(combinations(columns, 2))
-    aggregated = df.groupBy(by).agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    rows = ", ".join(f"'{a}', '{b}', round(`{a}|{b}`, {digits})" for a, b in pairs)
-    return aggregated.selectExpr(
-        by, f"stack({len(pairs)}, {rows}) AS (column_a, column_b, correlation)"
+    """Correlation of each pair of columns in each group; one pass, merged before the shuffle.
+
+    Pairs share the sums of single columns, so there is one sum of products for each pair. Rows with
+    a NULL in any of the columns are left out; a pair with a constant column has no correlation.
+    """
+    whole = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in columns))
+    places = range(len(columns))
+    pairs = list(combinations(places, 2))
+    singles = [f"sum(`{c}`) AS s{i}" for i, c in enumerate(columns)]
+    products = [f"sum(`{columns[i]}` * `{columns[j]}`) AS p{i}_{j}" for i, j in [*pairs, *((i, i) for i in places)]]
+    sums = whole.groupBy(by).agg(*map(F.expr, ["count(1) AS n", *singles, *products]))
+    spread = "(n * p{0}_{0} - s{0} * s{0})"
+    rows = ", ".join(
+        f"'{columns[i]}', '{columns[j]}', round((n * p{i}_{j} - s{i} * s{j}) / "
+        f"nullif(sqrt({spread.format(i)} * {spread.format(j)}), 0D), {digits})"
+        for i, j in pairs
     )
+    return sums.selectExpr(by, f"stack({len(pairs)}, {rows}) AS (column_a, column_b, correlation)")

@@ -4,22 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES, TEXT_BYTES = 64 << 20, 256
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows: a count that reads no column it does not need."""
-    return df.count() <= max_rows
+def row_bytes(df: DataFrame) -> int:
+    """What a row takes: eight bytes for each fixed column and the row itself, ``TEXT_BYTES`` for any other."""
+    fixed = (T.NumericType, T.BooleanType, T.DatetimeType)
+    return 8 + sum(8 if isinstance(f.dataType, fixed) else TEXT_BYTES for f in df.schema.fields)
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` takes at most ``max_bytes``: a count that reads no column it does not need."""
+    return df.count() * row_bytes(df) <= max_bytes
 
 
 def join_measured(
-    big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS
+    big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Broadcast ``small`` if it was counted and fits.
-
-    Beyond the bound the join is left to the optimiser: a sort-merge join whose hot keys adaptive
-    execution splits.
-    """
-    side = F.broadcast(small) if fits_broadcast(small, max_rows) else small
+    """Broadcast ``small`` if it was measured and fits; beyond that the join is left to the optimiser."""
+    side = F.broadcast(small) if fits_broadcast(small, max_bytes) else small
     return big.join(side, on, how)

@@ -9,18 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.features import quoted
 from ..scratch import materialise, scratch_path
-from .joins import join_measured
 
 _TIE = "_row_tie"
 
 
 def sort_for_storage(df: DataFrame, order: list[str]) -> DataFrame:
-    """Globally sorted rows; equal rows stay separable, so copies of one row fill many tasks."""
+    """Globally sorted rows; equal rows stay separable, so copies of one row fill many tasks.
+
+    Rows with equal ``order`` columns are ordered by their other columns, so a number belongs to content.
+    """
+    plain = (T.AtomicType, T.NullType)
+    rest = [f.name for f in df.schema.fields if f.name not in order and isinstance(f.dataType, plain)]
     tagged = df.withColumn(_TIE, F.monotonically_increasing_id())
-    return tagged.orderBy(*[quoted(c) for c in order], _TIE).drop(_TIE)
+    return tagged.orderBy(*[quoted(c) for c in [*order, *rest]], _TIE).drop(_TIE)
 
 
 def number_stored_rows(stored: DataFrame, name: str = "id", start: int = 1) -> DataFrame:
@@ -39,7 +44,8 @@ def number_stored_rows(stored: DataFrame, name: str = "id", start: int = 1) -> D
     offsets = materialise(sizes.select("_file", offset), "file_offsets")
     addressed = stored.select("*", file_name, F.col("_metadata.row_index").alias("_position"))
     number = (F.col("_offset") + F.col("_position") + F.lit(start)).cast("bigint").alias(name)
-    rows = join_measured(addressed, offsets, "_file")
+    # One row for each file of one write, so its size is bounded by that write's tasks: a million take 100 MB.
+    rows = addressed.join(F.broadcast(offsets), "_file")
     return rows.select(number, *[f"`{c}`" for c in stored.columns])
 
 

@@ -9,10 +9,8 @@ from ..functions.features import FEATURES, pack_vector
 from ..operators.joins import join_measured
 from ..sources.files import read_table
 
-# Fixed values of the fixture: lower ends of the amount ranges 1 to 8, the number of vectors that
-# events refer to, and the rule for a positive label.
+# Fixed values of the fixture: lower ends of the amount ranges 1 to 8, and the rule for a positive label.
 AMOUNT_CUTS = (1, 2, 5, 10, 20, 50, 100, 200)
-VECTOR_COUNT = 500
 LABEL_SUM = 0.3
 LABEL_AMOUNT_RANGE = 5
 
@@ -32,20 +30,23 @@ def whole_seconds(interval: Column) -> Column:
 
 
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vectors that events refer to, already spread into feature columns."""
+    """All vectors, spread into feature columns; event n refers to vector n modulo their number."""
     vectors = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    used = vectors.where(F.col("vec_id").between(0, VECTOR_COUNT - 1))
     spread = [f"CAST(embedding[{i}] AS DOUBLE) AS {name}" for i, name in enumerate(FEATURES)]
-    return used.selectExpr("vec_id AS vector_id", *spread)
+    return vectors.selectExpr("vec_id AS vector_id", *spread)
 
 
 def with_transactions(events: DataFrame, vectors: DataFrame, first_ts: Column) -> DataFrame:
-    """Transactions from event rows, batch or stream; ``first_ts`` is where time starts."""
+    """Transactions from event rows, batch or stream; ``first_ts`` is where time starts.
+
+    The number of vectors is one count, answered from file metadata.
+    """
+    modulus = max(1, vectors.count())
     base = events.select(
         F.col("event_id").alias("id"),
         whole_seconds(F.col("ts") - first_ts).cast("int").alias("time"),
         amount_range("value").alias("amountRange"),
-        F.pmod("event_id", F.lit(VECTOR_COUNT)).cast("bigint").alias("vector_id"),
+        F.pmod("event_id", F.lit(modulus)).cast("bigint").alias("vector_id"),
     )
     label = (
         f"CASE WHEN pca0 + pca1 > {LABEL_SUM}D AND amountRange >= {LABEL_AMOUNT_RANGE} "

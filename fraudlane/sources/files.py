@@ -50,8 +50,3 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             value = F.coalesce(value, failure, F.lit("" if text else 0).cast(field.dataType))
         columns.append(value.alias(field.name))
     return df.select(*columns).to(schema)
-
-
-def rows_with_schema(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
-    """A few literal rows; data of any size belongs in files and under :func:`conform`."""
-    return spark.createDataFrame(rows, schema)

@@ -1,9 +1,12 @@
-"""Wide-column keyed export: rows as cells in an append-only table, newest cell wins on read.
+"""Wide-column keyed export: rows as cells in a table bucketed by row key, newest cell wins on read.
 
 A write is one partition of the table, named by its writer and the writer's count of writes, so
 writing it again replaces it and never adds to it. Inside a write, ``batch_no`` counts batches of a
 fixed number of row keys: a loader with a limit for each request takes one batch at a time, and
 files carry the minimum and maximum of the column, so it finds them without reading the rest.
+
+Cells are bucketed and sorted by ``row_key``: a read of one key opens that key's bucket only, and the
+newest cells of all rows are found without a shuffle. ``compact`` replaces the history by its newest cells.
 """
 
 from __future__ import annotations
@@ -12,10 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.numbering import with_batches
+from ..scratch import materialise
 from . import tables
 
 # The column family, and the row keys that go into one batch.
 FAMILY = "predict"
+BUCKETS = 8
 BATCH_ROWS = 10_000
 CELL_COLUMNS = (
     "row_key string, family string, qualifier string, value string, stamp_us bigint, "
@@ -75,16 +80,26 @@ class KeyedStore:
         self.spark = spark
 
     @classmethod
-    def create(cls, spark: SparkSession, table: str) -> KeyedStore:
-        spark.sql(f"CREATE TABLE {table} ({CELL_COLUMNS}) USING parquet PARTITIONED BY (writer, write_no)")
+    def create(cls, spark: SparkSession, table: str, buckets: int = BUCKETS) -> KeyedStore:
+        """``buckets`` is for the life of the table: about one for each million rows it will hold."""
+        spark.sql(
+            f"CREATE TABLE {table} ({CELL_COLUMNS}) USING parquet PARTITIONED BY (writer, write_no) "
+            f"CLUSTERED BY (row_key) SORTED BY (row_key) INTO {int(buckets)} BUCKETS"
+        )
         return cls(spark, table)
 
+    def buckets(self) -> int:
+        described = self.spark.sql(f"DESCRIBE EXTENDED {self.table}")
+        return int(described.where("col_name = 'Num Buckets'").select("data_type").first()[0])
+
     def write(self, cells: DataFrame, write_no: int, writer: str = "batch") -> None:
         if not writer.replace("_", "").isalnum():
             raise ValueError("a writer is named by letters, digits and underscores")
         if "batch_no" not in cells.columns:
             cells = cells.withColumn("batch_no", F.lit(0).cast("bigint"))
         rows = cells.select("row_key", "family", "qualifier", "value", "stamp_us", "batch_no")
+        # One task and one file for each bucket of this write.
+        rows = rows.repartition(self.buckets(), "row_key")
         rows.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {self.table} "
             f"PARTITION (writer = '{writer}', write_no = {int(write_no)}) SELECT * FROM {{rows}}",
@@ -113,6 +128,23 @@ class KeyedStore:
         """One row by key; the predicate reaches the files."""
         return _side_by_side(self.cells().where(F.col("row_key") == key), qualifiers)
 
+    def compact(self) -> None:
+        """Replace all writes by one that holds the newest cells; the copy is complete before any is removed.
+
+        No other writer may be active. A failure after the removal leaves the copy in the shared folder.
+        """
+        newest = F.max(F.struct(*_NEWEST))
+        kept = self.cells().groupBy("row_key", "family", "qualifier").agg(newest.alias("cell"))
+        kept = kept.select("row_key", "family", "qualifier", "cell.value", "cell.stamp_us", "cell.batch_no")
+        copy = materialise(kept, "compacted_cells")
+        partitions = self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()
+        self.write(copy, 0, "compacted")
+        for row in partitions:
+            parts = dict(part.split("=", 1) for part in row["partition"].split("/"))
+            if parts["writer"] != "compacted":
+                spec = f"writer = '{parts['writer']}', write_no = {int(parts['write_no'])}"
+                self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({spec}) PURGE")
+
     def count(self) -> DataFrame:
         return self.cells().agg(F.count_distinct("row_key").alias("n_rows"))
 

@@ -39,23 +39,27 @@ def _records(style: str) -> Column:
 
 
 def parse_requests(requests: DataFrame, style: str = "flattened") -> DataFrame:
-    """One row for each record with its position in the request."""
+    """One row for each record with its position in the request; a request without records has none."""
     rows = requests.select("request_id", F.posexplode(_records(style)).alias("position", "record"))
+    return _spread(rows, style, "request_id", "position")
+
+
+def _spread(rows: DataFrame, style: str, *keep: str) -> DataFrame:
     fields = [f"record.`{n}` AS {s}" for n, s in zip(feature_names(style), feature_names())]
-    return rows.selectExpr("request_id", "position", *fields)
+    return rows.selectExpr(*keep, *fields)
 
 
 def respond(
-    requests: DataFrame, score_sql: Callable[[str, str], str], style: str = "flattened"
+    requests: DataFrame, score_sql: Callable[..., str], style: str = "flattened"
 ) -> DataFrame:
     """One response for each request, predictions in request order.
 
-    ``score_sql`` turns the first two features of a record into a score. Records are scored inside
-    their array, so a request is never taken apart and nothing is shuffled. A body that is not a
-    request gets a NULL response.
+    ``score_sql`` gets the SQL names of a record's features, all of them in order. Records are
+    scored inside their array, so a request is never taken apart and nothing is shuffled. A body
+    that is not a request gets a NULL response.
     """
-    first, second = (f"r.`{n}`" for n in feature_names(style, 2))
-    predictions = f"transform(_records, r -> {score_sql(first, second)})"
+    fields = [f"r.`{n}`" for n in feature_names(style)]
+    predictions = f"transform(_records, r -> {score_sql(*fields)})"
     response = f"to_json(named_struct('{PREDICTIONS}', {predictions}))"
     return requests.withColumn("_records", _records(style)).selectExpr(
         "request_id", f"CASE WHEN _records IS NOT NULL THEN {response} END AS response"
@@ -65,11 +69,20 @@ def respond(
 def respond_with_udf(requests: DataFrame, udf, style: str = "flattened") -> DataFrame:
     """As :func:`respond` for a vectorised Python model over all features.
 
-    Records are regrouped by request, which bounds a group by the size of one request.
+    Records are regrouped by request, which bounds a group by the size of one request. A request
+    without records keeps a row of its own, so each request is answered: ``[]`` for an empty list,
+    NULL for a body that is not a request.
     """
-    scored = parse_requests(requests, style).select(
-        "request_id", "position", udf(*[quoted(n) for n in feature_names()]).alias("p")
+    opened = requests.withColumn("_records", _records(style)).select(
+        "request_id",
+        F.col("_records").isNotNull().alias("_valid"),
+        F.posexplode_outer("_records").alias("position", "record"),
+    )
+    scored = _spread(opened, style, "request_id", "_valid", "position").select(
+        "request_id", "_valid", "position", udf(*[quoted(n) for n in feature_names()]).alias("p")
     )
-    rows = F.expr("array_sort(collect_list(struct(position, p)))")
-    response = f"to_json(named_struct('{PREDICTIONS}', transform(_rows, row -> row.p))) AS response"
-    return scored.groupBy("request_id").agg(rows.alias("_rows")).selectExpr("request_id", response)
+    # collect_list passes over the NULL of a request without records.
+    rows = F.expr("array_sort(collect_list(CASE WHEN position IS NOT NULL THEN struct(position, p) END))")
+    grouped = scored.groupBy("request_id").agg(F.bool_or("_valid").alias("_valid"), rows.alias("_rows"))
+    response = f"to_json(named_struct('{PREDICTIONS}', transform(_rows, row -> row.p)))"
+    return grouped.selectExpr("request_id", f"CASE WHEN _valid THEN {response} END AS response")

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import scratch_path, unique_name
+from .files import list_files
 
-# The rows meant for one bucket, and the fewest and most buckets of a table.
-BUCKET_ROWS, MIN_BUCKETS, MAX_BUCKETS = 2_000_000, 8, 100_000
+# The rows meant for one bucket, and the fewest buckets of a table.
+BUCKET_ROWS, MIN_BUCKETS = 2_000_000, 8
 
 
 def create_database(spark: SparkSession, name: str | None = None) -> str:
@@ -26,7 +27,7 @@ def overwrite_table(df: DataFrame, table: str) -> DataFrame:
 
 def buckets_for(df: DataFrame) -> int:
     """Buckets that grow with the table, from one count that reads no wide column."""
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-df.count() // BUCKET_ROWS)))
+    return max(MIN_BUCKETS, -(-df.count() // BUCKET_ROWS))
 
 
 def create_table(
@@ -73,22 +74,16 @@ def temp_view(df: DataFrame, name: str | None = None) -> str:
 
 
 def table_detail(spark: SparkSession, table: str) -> DataFrame:
-    """Format, location, file count and bytes, from file metadata only."""
+    """Format, location, file count and bytes from a listing of the location; no row is read."""
     described = spark.sql(f"DESCRIBE EXTENDED {table}")
     detail = described.where(F.col("col_name").isin("Provider", "Location")).agg(
         F.max(F.when(F.col("col_name") == "Provider", F.col("data_type"))).alias("format"),
         F.max(F.when(F.col("col_name") == "Location", F.col("data_type"))).alias("location"),
     )
     provider, location = detail.first()
-    files = (
-        spark.table(table)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
-        .groupBy("path")
-        .agg(F.max("bytes").alias("bytes"))
-    )
-    return files.agg(
+    return list_files(spark, location).where(~F.col("path").rlike(r"/[_.][^/]*$")).agg(
         F.lit(provider).alias("format"),
         F.lit(location).alias("location"),
         F.count(F.lit(1)).alias("n_files"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("size_bytes"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"),
     )

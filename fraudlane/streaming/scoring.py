@@ -47,14 +47,17 @@ def upsert_scores(
 ) -> StreamingQuery:
     """Score every record and write its cells under the number of its micro-batch.
 
-    A micro-batch that is run again replaces its own cells, so each counts once. Streams that
-    share a store need different writers.
+    A micro-batch that is run again replaces its own cells, so each counts once. Batch numbers start
+    again with each checkpoint, so the query's lasting id, which the checkpoint keeps, is part of
+    the writer: streams and new checkpoints never replace each other's cells.
     """
     scored = gold_rows(records, vote_score() if prediction is None else prediction)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         cells = to_cells(batch, list(qualifiers), stamp_us(batch_id))
-        KeyedStore(batch.sparkSession, store.table).write(cells, batch_id, writer)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        owner = f"{writer}_{query_id.replace('-', '')}"
+        KeyedStore(batch.sparkSession, store.table).write(cells, batch_id, owner)
 
     return (
         scored.writeStream.foreachBatch(write)

@@ -75,9 +75,25 @@ def test_clear(spark, store):
     assert store.cells().count() == 0 and store.count().first()[0] == 0
 
 
-def test_older_copies_drop_out_before_the_shuffle(spark, store, plan_of):
+def test_newest_cells_need_no_shuffle(spark, store, plan_of):
     plan = plan_of(store.latest(), "simple")
-    assert plan.index("partial_max") > plan.index("Exchange")
+    assert "max" in plan and "Exchange" not in plan
+
+
+def test_one_key_reads_one_bucket(spark, store, plan_of):
+    plan = plan_of(store.row("5", ["prediction"]), "formatted")
+    assert "SelectedBucketsCount: 1 out of 8" in plan and "Exchange" not in plan
+
+
+def test_compaction_keeps_the_newest_cells(spark, store):
+    store.write(to_cells(rows(spark, (1, 5, 3, 0), (2, 6, 4, 1)), QUALIFIERS, 100), 1)
+    store.write(to_cells(rows(spark, (2, 7, 4, 0)), QUALIFIERS, 200), 2)
+    before = store.latest()
+    kept = sorted(map(tuple, before.collect()))
+    store.compact()
+    assert sorted(map(tuple, store.latest().collect())) == kept
+    assert store.cells().count() == len(kept)
+    assert [r["writer"] for r in store.cells().select("writer").distinct().collect()] == ["compacted"]
 
 
 @pytest.mark.parametrize("n, sizes", [(20, [10, 10]), (21, [10, 10, 1])])

@@ -8,6 +8,10 @@ from fraudlane.functions.features import FEATURES, feature_names
 from fraudlane.sources import payload
 
 
+def _votes(*fields):
+    return scoring.vote_sql(*fields[:2])
+
+
 @pytest.fixture(scope="module")
 def requests(txn):
     return payload.build_requests(txn, 64)
@@ -30,7 +34,7 @@ def test_doubles_survive_the_trip(requests, txn):
 def test_responses_follow_the_request_order(requests, txn):
     expected = [r["p"] for r in txn.orderBy("id").select(scoring.vote_score().alias("p")).collect()]
     for respond in (
-        payload.respond(requests, scoring.vote_sql),
+        payload.respond(requests, _votes),
         payload.respond_with_udf(requests, scoring.vote_udf()),
     ):
         got = [json.loads(r["response"]) for r in respond.orderBy("request_id").collect()]
@@ -39,7 +43,7 @@ def test_responses_follow_the_request_order(requests, txn):
 
 def test_native_response_needs_no_shuffle(spark, requests, plan_of):
     stored = spark.createDataFrame(requests.limit(3).collect(), requests.schema)
-    assert "Exchange" not in plan_of(payload.respond(stored, scoring.vote_sql), "simple")
+    assert "Exchange" not in plan_of(payload.respond(stored, _votes), "simple")
 
 
 def test_three_records_in_one_request(spark):
@@ -48,7 +52,7 @@ def test_three_records_in_one_request(spark):
     records[1].update({"pca[0]": 0.3, "pca[1]": 0.3})
     body = json.dumps({"dataframe_records": records})
     df = spark.createDataFrame([(1, body)], "request_id long, body string")
-    assert payload.respond(df, scoring.vote_sql).first()["response"] == '{"predictions":[0,1,0]}'
+    assert payload.respond(df, _votes).first()["response"] == '{"predictions":[0,1,0]}'
 
 
 def test_odd_bodies(spark):
@@ -60,8 +64,16 @@ def test_odd_bodies(spark):
         (5, None),
     ]
     df = spark.createDataFrame(bodies, "request_id long, body string")
-    got = {r["request_id"]: r["response"] for r in payload.respond(df, scoring.vote_sql).collect()}
-    assert got == {1: None, 2: '{"predictions":[]}', 3: None, 4: '{"predictions":[0]}', 5: None}
+    for answers in (payload.respond(df, _votes), payload.respond_with_udf(df, scoring.vote_udf())):
+        got = {r["request_id"]: r["response"] for r in answers.collect()}
+        assert got == {1: None, 2: '{"predictions":[]}', 3: None, 4: '{"predictions":[0]}', 5: None}
+
+
+def test_native_scoring_gets_every_feature(spark, requests):
+    last = payload.respond(requests, lambda *fields: f"CAST({fields[27]} > 0 AS INT)")
+    first = json.loads(requests.where("request_id = 0").first()["body"])["dataframe_records"]
+    got = json.loads(last.where("request_id = 0").first()["response"])["predictions"]
+    assert got == [int(r["pca[27]"] > 0) for r in first]
 
 
 def test_requests_stay_small_under_one_hot_key(txn):

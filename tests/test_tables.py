@@ -147,7 +147,7 @@ def test_rows_with_explicit_schema(spark):
     schema = T.StructType(
         [T.StructField("number", T.IntegerType(), False), T.StructField("name", T.StringType(), False)]
     )
-    df = files.rows_with_schema(spark, [[1, "a"], [2, "b"]], schema)
+    df = spark.createDataFrame([[1, "a"], [2, "b"]], schema)
     assert df.schema == schema and df.count() == 2
     conformed = files.conform(df.selectExpr("name", "CAST(number AS bigint) AS number"), schema)
     assert conformed.schema == schema
@@ -159,9 +159,9 @@ def test_small_side_is_broadcast_only_when_it_fits(spark, conf, plan_of):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     big = spark.range(1000).selectExpr("id % 50 AS k", "id AS v")
     small = spark.range(50).selectExpr("id AS k", "id * 2 AS w")
-    assert fits_broadcast(small, 50) and not fits_broadcast(small, 49)
-    by_broadcast = join_measured(big, small, "k", max_rows=50)
-    by_sort = join_measured(big, small, "k", max_rows=49)
+    assert fits_broadcast(small, 50 * 24) and not fits_broadcast(small, 49 * 24)
+    by_broadcast = join_measured(big, small, "k", max_bytes=50 * 24)
+    by_sort = join_measured(big, small, "k", max_bytes=49 * 24)
     assert "BroadcastHashJoin" in plan_of(by_broadcast, "simple")
     assert "BroadcastHashJoin" not in plan_of(by_sort, "simple")
     assert by_broadcast.exceptAll(by_sort).count() == 0 and by_sort.count() == 1000

@@ -80,21 +80,28 @@ def test_node_table(spark, model):
     assert nodes.where("left_child IS NULL AND threshold IS NOT NULL").count() == 0
 
 
-@pytest.mark.parametrize("trees, depth", [(1, 3), (5, 10), (20, 6)])
-def test_forest_called_from_sql(spark, train, parts, trees, depth):
+@pytest.mark.parametrize("trees, depth", [(1, 3), (50, 20)])
+def test_stored_forest_scores_under_its_contract(spark, train, parts, trees, depth):
+    """The largest cell of the grid, too: no bound on nodes and nothing gathered on the driver."""
     model = training.fit_forest(train, trees, depth)
-    udf = training.forest_udf(spark, training.save_model(model))
-    name = scoring.register_scorer(spark, udf, "forest_for_test")
-    training.predict(model, parts["test"], "expected").createOrReplaceTempView("forest_test")
-    both = spark.sql(f"SELECT expected, {scoring.sql_call(name)} AS called FROM forest_test")
+    path = training.save_model(model)
+    shuffled = parts["test"].select("label", *[F.col(f).cast("string").alias(f) for f in reversed(FEATURES)], "id")
+    called = training.predict_stored(spark, path, shuffled, ["id"], "called")
+    both = training.predict(model, parts["test"], "expected").join(called, "id")
     row = training.compare_predictions(both, F.col("expected"), F.col("called")).first()
-    assert row["n_rows"] > 0 and row["n_different"] == 0
+    assert row["n_rows"] == parts["test"].count() > 0 and row["n_different"] == 0
+    with pytest.raises(ValueError, match="pca7"):
+        training.predict_stored(spark, path, parts["test"].drop("pca7"), ["id"])
+    broken = parts["test"].withColumn("pca7", F.lit(None).cast("double"))
+    with pytest.raises(Exception, match="null"):
+        training.predict_stored(spark, path, broken, ["id"]).collect()
 
 
-def test_a_forest_too_large_for_a_function_is_refused(spark, model, monkeypatch):
-    monkeypatch.setattr(training, "MAX_UDF_NODES", 10)
-    with pytest.raises(ValueError, match="nodes"):
-        training.forest_udf(spark, training.save_model(model))
+def test_importance_from_nodes(spark, model):
+    nodes = training.tree_nodes(spark, training.save_model(model))
+    own = {r["feature_index"]: r["importance"] for r in training.importance_from_nodes(nodes).collect()}
+    for i, value in enumerate(model.featureImportances.toArray()):
+        assert abs(own.get(i, 0.0) - value) < 1e-9
 
 
 def test_null_feature_is_an_error(txn):
@@ -122,7 +129,7 @@ def test_grid_is_logged_and_its_best_promoted(spark, train, parts, database):
     results = training.evaluate_models(models, parts["test"])
     for row in results.collect():
         own = training.predict(models[row["run_key"]], parts["test"])
-        assert tuple(evaluate.evaluation(own, scale=100.0, digits=None).first()) == tuple(row)[3:]
+        assert tuple(evaluate.evaluation(own, scale=100.0, digits=None).first()) == tuple(row)[3:7]
     paths = {k: training.save_model(m, scratch_path(spark, k)) for k, m in models.items()}
     log = runs.RunLog.create(spark, f"{database}.runs")
     metrics = ["accuracy", "precision", "recall", "f1_score"]
@@ -186,7 +193,7 @@ def test_lifecycle_of_tables_used_by_runs(spark, database):
 
 
 @pytest.mark.parametrize(
-    "rows, partitions", [(0, 1), (1, 1), (8_000, 1), (80_000, 8), (10**6, 64), (10**9, 1000)]
+    "rows, partitions", [(0, 1), (1, 1), (8_000, 1), (80_000, 4), (10**6, 50), (10**9, 50_000)]
 )
 def test_partitions_grow_with_the_rows(rows, partitions):
     assert training.partitions_for(rows) == partitions
