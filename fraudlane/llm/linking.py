@@ -11,6 +11,7 @@ single counts, and each round goes on from a table written to the shared folder.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -19,20 +20,21 @@ from pyspark.sql import functions as F
 from fraudlane.scratch import materialise
 
 
-def connected_components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node in ``links`` (a, b); root is the smallest node of its component.
+def connected_components(links: DataFrame, most: int | None = None) -> DataFrame:
+    """(node, root) of every node of ``links`` (a, b) but the roots; root is the smallest node of its component.
 
-    Alternates large-star and small-star steps, which keep the number of links and halve long chains.
-    Self links name a node without a partner. Null ends are ignored.
+    Alternates large-star and small-star steps, which keep the number of links and halve long chains, until all
+    links point at roots. Null ends and self links are ignored. After ``most`` steps, if given, a node's root is the
+    smallest node known to be in its component, which may not be the smallest there is.
     """
-    links = links.where("a IS NOT NULL AND b IS NOT NULL")
+    links = links.where("a <> b")
     edges = materialise(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    edges = edges.where("a <> b")
+    step = 0
     while True:
+        step += 1
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (
             large.join(low, "a")
@@ -41,16 +43,21 @@ def connected_components(links: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        small = materialise(small, "edges")
-        # Done when every node has one link, to a node that has none of its own: a forest of stars.
-        unfinished = small.groupBy("a").count().where("count > 1").select("a").union(
-            small.select("b").join(small.select(F.col("a").alias("b")), "b", "left_semi")
-        )
-        edges = small
-        if unfinished.isEmpty():
-            break
-    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return materialise(nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "components")
+        edges = materialise(small, "edges")
+        if step == most:
+            return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+        # Done when every node has one link or is linked to, and no node both.
+        ends = edges.select(F.col("a").alias("node"), F.lit(2).alias("end")).union(edges.select("b", F.lit(3)).distinct())
+        if ends.groupBy("node").agg(F.sum("end").alias("s")).where("s > 3").isEmpty():
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def bits_apart(left: Column, right: Column, words: int) -> Column:
+    """How many bits differ between two arrays of ``words`` longs."""
+    total = F.lit(0)
+    for i in range(words):
+        total = total + F.bit_count(F.get(left, F.lit(i)).bitwiseXOR(F.get(right, F.lit(i))))
+    return total
 
 
 def hamming_lanes(left: Column, right: Column, words: int) -> Column:
@@ -78,8 +85,8 @@ def _with_shared(mixed: DataFrame, store: DataFrame, contents: Step, percent: in
     sets = materialise(contents(store.join(nodes, "node", "left_semi")), "sets")
     own = sets.select("node", F.explode("items").alias("item")).groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("c"))
     own = own.where("c = 1").groupBy("node").agg(F.count("*").alias("own"))
-    sizes = sets.select("node", F.size("items").cast("long").alias("n")).join(own, "node", "left")
-    sizes = sizes.select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+    sizes = sets.select("node", "wide", F.size("items").cast("long").alias("n")).join(own, "node", "left")
+    sizes = sizes.select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"), "wide")
     return mixed.join(sizes.where(100 * F.col("shared") >= percent * F.col("n")), "node")
 
 
@@ -96,18 +103,21 @@ def link_classes(
     contents: Step,
     percent: int,
     words: int = 0,
+    wide_words: int = 0,
     max_distance: int = 0,
-    rounds: int = 2,
+    rounds: int = 3,
 ) -> tuple[DataFrame, DataFrame]:
     """Links and components of classes whose sets have 100 * common >= ``percent`` * union and that share a key.
 
     ``classes`` has ``node`` long, ``keys`` array<long>, and ``sig`` array<long> of ``words`` longs where ``words`` is
     not 0; without ``sig`` a node may stand in several equal rows. ``texts`` gives (node, text) of the nodes passed,
     one row each; it is called once, for the nodes that share a key with another. ``verify`` keeps (a, b) of those
-    rows of (a, b, text_a, text_b) that are links, and ``contents`` makes (node, items) of (node, text).
+    rows of (a, b, text_a, text_b) that are links, and ``contents`` makes (node, items, wide) of (node, text): the set,
+    and a longer signature of ``wide_words`` longs for the few nodes whose links are not settled by the leads.
 
-    Leftover pairs are compared if their signatures differ in at most ``max_distance`` bytes (where there are
-    signatures) and the bound of ``_with_shared`` allows a link. Returns links (a, b) and (node, root) of linked nodes.
+    Leftover pairs are compared if their long signatures differ in at most ``max_distance`` bits (where there are
+    any) and the bound of ``_with_shared`` allows a link. Returns links (a, b) and (node, root) of linked nodes
+    that are no roots.
     """
     spark = classes.sparkSession
     rows = classes.select(F.explode(F.array_distinct("keys")).alias("key"), "node")
@@ -155,17 +165,24 @@ def link_classes(
         best = materialise(best, "pairs")
         found = linked(best)
         done, links = done.union(best), links.union(found)
-        labels = connected_components(links)
+        labels = connected_components(links, most=2)
     mixed = materialise(_with_shared(_mixed(rooted()), store, contents, percent), "mixed")
     mixed = _mixed(mixed)
-    if words:
-        mixed = mixed.join(sigs, "node")
-    x, y = mixed.alias("x"), mixed.alias("y")
+    keys = mixed.groupBy("node").agg(F.array_sort(F.collect_set("key")).alias("own_keys"))
+    mixed = materialise(mixed.join(keys, "node"), "leftovers")
+    # Linked sets differ in size by one step of the threshold at most, so a set meets its own and the next smaller and
+    # larger sizes only.
+    step = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
+    x = mixed.withColumn("step", step).alias("x")
+    y = mixed.withColumn("step", F.explode(F.array(step - 1, step, step + 1))).alias("y")
     common = F.least("x.shared", "y.shared")
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.step") == F.col("y.step"))
+    apart &= (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
     apart &= 100 * common >= percent * (F.col("x.n") + F.col("y.n") - common)
-    if words:
-        apart &= hamming_lanes(F.col("x.sig"), F.col("y.sig"), words) <= max_distance
+    if wide_words:
+        apart &= bits_apart(F.col("x.wide"), F.col("y.wide"), wide_words) <= max_distance
+    # A pair with several keys in common comes out at the first of them only.
+    apart &= F.get(F.array_intersect("x.own_keys", "y.own_keys"), F.lit(0)) == F.col("x.key")
     rest = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     rest = materialise(rest.join(done, ["a", "b"], "left_anti"), "pairs")
     links = links.union(linked(rest))

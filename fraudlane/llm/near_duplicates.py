@@ -7,9 +7,9 @@ allowed error, in at least one chunk. The allowed error is enumerated by leaving
 turn, so agreement is equality of a key. Every pair within distance 20 therefore shares a key, and shared keys
 are compared on the whole sets (``linking.link_classes``).
 
-At a similarity of 0.85 a byte differs with probability 0.15; a pair shares no key with probability 3e-7. Only
-pairs left to the last comparison are also held to the distance, which a pair at 0.85 exceeds with probability
-5e-4, and only if no chain of other links has joined it.
+At a similarity of 0.85 a byte differs with probability 0.15; a pair shares no key with probability 3e-7. Pairs left
+to the last comparison are also held to a distance in a signature of 1,024 single bits, made for these documents only, which a
+pair at the threshold exceeds with probability 3e-4, and only if no chain of other links has joined it.
 
 Defined results: a null or blank text has no words, an empty set and no links. Texts with the same word sequence
 are one class and linked. Repeated rows are answered once each; rows that share a ``doc_id`` are one node of the
@@ -31,15 +31,15 @@ from fraudlane.llm import text_arrays as ta
 from fraudlane.llm.linking import link_classes
 from fraudlane.scratch import materialise
 
-LANES = 64
+LANES, WIDE_LANES = 64, 1024
 _NO_ID = -(1 << 63)
 MAX_DISTANCE = 20
 CHUNKS = [(6 * i, 6, 1) for i in range(10)] + [(60, 4, 0)]
 assert sum(errors + 1 for _, _, errors in CHUNKS) >= MAX_DISTANCE + 1
 
 _RANDOM = np.random.default_rng(20)
-_XOR = _RANDOM.integers(0, 1 << 63, LANES, dtype=np.uint64)
-_ODD = _RANDOM.integers(0, 1 << 63, LANES, dtype=np.uint64) | np.uint64(1)
+_XOR = _RANDOM.integers(0, 1 << 63, WIDE_LANES, dtype=np.uint64)
+_ODD = _RANDOM.integers(0, 1 << 63, WIDE_LANES, dtype=np.uint64) | np.uint64(1)
 
 
 def shingles(words: ta.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,13 +56,13 @@ def shingles(words: ta.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return values, np.searchsorted(first, words.bounds)
 
 
-def signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def signatures(values: np.ndarray, bounds: np.ndarray, lanes: int = LANES) -> np.ndarray:
     """(text, lane) bytes: the low byte of each MinHash value; texts without shingles get zeros."""
-    out = np.zeros((len(bounds) - 1, LANES), dtype=np.uint8)
+    out = np.zeros((len(bounds) - 1, lanes), dtype=np.uint8)
     full = np.flatnonzero(np.diff(bounds) > 0)
     if len(full):
         heads = bounds[full]
-        for lane in range(LANES):
+        for lane in range(lanes):
             least = np.minimum.reduceat((values ^ _XOR[lane]) * _ODD[lane], heads)
             out[full, lane] = ta.mix(least).astype(np.uint8)
     return out
@@ -109,6 +109,12 @@ def _index(size: int):
     return run
 
 
+def wide_distance(percent: int) -> int:
+    """Three and a half standard deviations above the mean distance of a pair at ``percent`` similarity."""
+    differs = (1 - percent / 100) / 2
+    return int(WIDE_LANES * differs + 3.5 * (WIDE_LANES * differs * (1 - differs)) ** 0.5)
+
+
 def _items(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,8 +123,12 @@ def _items(size: int):
                 values, bounds = shingles(words, size)
                 sets = [np.unique(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
-                items = ta.list_column(np.concatenate(sets).view(np.int64), ends)
-                yield pa.RecordBatch.from_arrays([part.column(0), items], ["node", "items"])
+                items = np.concatenate(sets)
+                bits = np.packbits(signatures(items, ends, WIDE_LANES) & 1, axis=1)
+                wide = bits.view(np.int64).ravel()
+                edge = np.arange(part.num_rows + 1) * (WIDE_LANES // 64)
+                columns = [part.column(0), ta.list_column(items.view(np.int64), ends), ta.list_column(wide, edge)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "items", "wide"])
 
     return run
 
@@ -166,9 +176,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         return pairs.mapInArrow(_verified(shingle_words, percent), "a long, b long")
 
     def contents(nodes: DataFrame) -> DataFrame:
-        return nodes.mapInArrow(_items(shingle_words), "node long, items array<long>")
+        return nodes.mapInArrow(_items(shingle_words), "node long, items array<long>, wide array<long>")
 
-    _, roots = link_classes(classes, texts, verify, contents, percent, LANES // 8, MAX_DISTANCE)
+    _, roots = link_classes(classes, texts, verify, contents, percent, LANES // 8, WIDE_LANES // 64, wide_distance(percent))
     given = F.nullif("doc_id", F.lit(_NO_ID))
     least = filled.groupBy("node").agg(F.min(given).alias("least"))
     rooted = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -186,6 +196,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without rows that are near copies of a document with a smaller id; all columns stay."""
-    gone = near_duplicates(docs, shingle_words, percent).where("NOT kept").select(F.col("doc_id").alias("id"), "fp").distinct()
-    gone = materialise(gone, "near_copies")
-    return docs.join(gone, (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("fp")), "left_anti")
+    gone = near_duplicates(docs, shingle_words, percent).where("NOT kept")
+    gone = materialise(gone.select(F.col("doc_id").alias("_near_id"), F.col("fp").alias("_near_text")).distinct(), "near_copies")
+    same = (docs["doc_id"] == gone["_near_id"]) & (F.xxhash64(docs["text"]) == gone["_near_text"])
+    return docs.join(gone, same, "left_anti")
