@@ -185,7 +185,7 @@ def _best_literal(rows: DataFrame, cuts: dict[str, list[float]]) -> tuple[Condit
 
 def learn_rules(rows: DataFrame) -> list[Rule]:
     """An ordered list of rules that name bad documents, from ``statistics`` columns, ``bad`` 0/1 and ``grow``."""
-    rows, cuts = _binned(rows)
+    rows, cuts = _binned(materialise(rows, "rule_statistics"))
     rows = materialise(rows, "rule_sample")
     rules: list[Rule] = []
     while len(rules) < MAX_RULES:
@@ -242,7 +242,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chosen = texts.join(F.broadcast(known.select("id")), F.col("doc_id") == F.col("id"), "left_semi")
-    counted = text_counts(chosen).where(~base_failed())
+    # Written first: a condition on the counts must not be pushed below the choice, to all texts.
+    counted = text_counts(materialise(chosen, "rule_texts")).where(~base_failed())
     named = [c.alias(s) for c, s in zip(statistics(), STATISTICS, strict=True)]
     rows = counted.select("doc_id", *named).join(F.broadcast(known), F.col("doc_id") == F.col("id"))
     grow = F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) > 0
