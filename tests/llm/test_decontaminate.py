@@ -1,0 +1,73 @@
+import hashlib
+import re
+
+import pytest
+
+from fraudlane.llm import decontaminate as dc
+
+
+def words_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+
+
+def brute(docs, items):
+    windows = {}
+    for item, text in items:
+        w = words_of(text)
+        n = min(10, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+    out = {}
+    for i, text in docs:
+        w, hit, found = words_of(text), set(), set()
+        for n in {len(k) for k in windows}:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in windows:
+                    hit.update(range(k, k + n))
+                    found |= windows[tuple(w[k : k + n])]
+        out[i] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
+    return out
+
+
+@pytest.fixture(scope="module")
+def tables(spark, docs_of, write_prose):
+    items = [(10, write_prose(1, 30)), (9, write_prose(2, 12)), (9, write_prose(2, 12)), (3, "Short ITEM, of five words"), (4, "   "), (5, None), (6, write_prose(1, 15))]
+    middle = " ".join(write_prose(1, 30).split()[3:25])
+    docs = [
+        (1, f"start {middle} end"), (2, f"{write_prose(2, 12)} {write_prose(2, 12)}".upper()), (3, "a short-item? of FIVE words b"),
+        (4, write_prose(50, 200)), (5, None), (6, ""), (7, " ".join(middle.split()[:9])), (8, "x" * 100_000 + " " + middle),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return docs_of(docs), bench, docs, items
+
+
+def test_digest_matches_brute_force(tables, monkeypatch):
+    docs, bench, rows, items = tables
+    want = brute(rows, items)
+    for block_bytes in (dc.BLOCK_BYTES, 200):
+        monkeypatch.setattr(dc, "BLOCK_BYTES", block_bytes)
+        assert {r.doc_id: tuple(r)[1:] for r in dc.scan_contamination(docs, bench).collect()} == want
+    assert [i for i, x in want.items() if x[-1]] == [1, 2, 3, 8]
+
+
+def test_removal(tables, monkeypatch):
+    docs, bench, rows, _ = tables
+    for block_bytes in (dc.BLOCK_BYTES, 200):
+        monkeypatch.setattr(dc, "BLOCK_BYTES", block_bytes)
+        left = dc.remove_contaminated(docs, bench)
+        assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {4, 5, 6, 7}
+        cut = {r.doc_id: r.text for r in dc.remove_contaminated(docs, bench, mode="span").collect()}
+        assert cut[1] == "start  end" and cut[3] == "a  b" and cut[4] == rows[3][1] and cut[5] is None
+        assert not words_of(cut[2])
+
+
+def test_odd_rows(spark, odd_docs, clashing, no_docs, tables, rows_of):
+    bench = tables[1]
+    got = dc.scan_contamination(odd_docs, bench)
+    assert got.count() == odd_docs.count()
+    assert rows_of(dc.scan_contamination(clashing, bench)) == rows_of(got)
+    assert dc.scan_contamination(no_docs, bench).count() == 0
+    assert dc.scan_contamination(odd_docs, bench.limit(0)).where("contaminated").count() == 0
+    nameless = spark.createDataFrame([(None, "漢字漢字")], "item_id long, text string")
+    hit = [tuple(r)[2:4] for r in dc.scan_contamination(odd_docs, nameless).where("contaminated").collect()]
+    assert hit == [(1, 0)]
