@@ -14,12 +14,18 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlane.scratch import materialise
 
 
+#: Leads whose signatures are compared for each member and turn; the rest is left to the comparison of leftovers.
+LEADS = 4
+#: Words of a long signature that are compared before all of it.
+HEAD_WORDS = 8
+
+
 def connected_components(links: DataFrame, most: int | None = None) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b) but the roots; root is the smallest node of its component.
 
@@ -52,6 +58,12 @@ def connected_components(links: DataFrame, most: int | None = None) -> DataFrame
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def all_bits_apart(left: Column, right: Column) -> Column:
+    """As ``bits_apart`` for arrays of any one length, in code that does not grow with it."""
+    each = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(each, F.lit(0), lambda total, x: total + x)
+
+
 def bits_apart(left: Column, right: Column, words: int) -> Column:
     """How many bits differ between two arrays of ``words`` longs."""
     total = F.lit(0)
@@ -103,8 +115,7 @@ def link_classes(
     contents: Step,
     percent: int,
     words: int = 0,
-    wide_words: int = 0,
-    max_distance: int = 0,
+    wide: tuple[int, int] | None = None,
     rounds: int = 3,
 ) -> tuple[DataFrame, DataFrame]:
     """Links and components of classes whose sets have 100 * common >= ``percent`` * union and that share a key.
@@ -113,10 +124,10 @@ def link_classes(
     not 0; without ``sig`` a node may stand in several equal rows. ``texts`` gives (node, text) of the nodes passed,
     one row each; it is called once, for the nodes that share a key with another. ``verify`` keeps (a, b) of those
     rows of (a, b, text_a, text_b) that are links, and ``contents`` makes (node, items, wide) of (node, text): the set,
-    and a longer signature of ``wide_words`` longs for the few nodes whose links are not settled by the leads.
+    and a longer signature for the few nodes whose links are not settled by the leads.
 
-    Leftover pairs are compared if their long signatures differ in at most ``max_distance`` bits (where there are
-    any) and the bound of ``_with_shared`` allows a link. Returns links (a, b) and (node, root) of linked nodes
+    Leftover pairs are compared if their long signatures differ in at most ``wide`` bits, in their first ``HEAD_WORDS``
+    longs and in all, (where there are any) and the bound of ``_with_shared`` allows a link. Returns links (a, b) and (node, root) of linked nodes
     that are no roots.
     """
     spark = classes.sparkSession
@@ -151,16 +162,20 @@ def link_classes(
     for turn in range(rounds):
         at = materialise(_mixed(rooted()), "mixed") if turn else rooted()
         at = at.withColumn("o", F.xxhash64("node", F.lit(turn)) if turn else F.col("node"))
-        # Two leads for each bucket; a member is compared with the nearest lead of another component.
-        ends = at.groupBy("key").agg(F.min("o").alias("o0"), F.max("o").alias("o1"))
-        leads = at.join(ends, "key").where("o = o0 OR o = o1").select("key", F.col("node").alias("lead"), F.col("root").alias("lead_root"))
+        # A lead for each bucket, and another for members of the first one's component. Of the leads a member shares the
+        # most buckets with, it is compared with the nearest.
+        one = F.struct("o", F.col("node").alias("lead"), F.col("root").alias("lead_root"))
+        ends = at.groupBy("key").agg(F.min(one).alias("first"), F.max(one).alias("last"))
+        chosen = F.when(F.col("first.lead_root") != F.col("root"), F.col("first")).otherwise(F.col("last"))
         pairs = (
-            at.join(leads, "key").where("root <> lead_root")
-            .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"), F.col("node").alias("own"))
-            .distinct()
+            at.join(ends, "key").select("node", "root", chosen.alias("c")).where("c.lead_root <> root")
+            .select(F.least("node", "c.lead").alias("a"), F.greatest("node", "c.lead").alias("b"), F.col("node").alias("own"))
+            .groupBy("a", "b", "own").agg(F.count("*").alias("times"))
         )
         if turn:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
+        order = Window.partitionBy("own").orderBy(F.desc("times"), F.xxhash64("a", "b"), "a", "b")
+        pairs = pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADS)
         best = distance(pairs).groupBy("own").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
         best = materialise(best, "pairs")
         found = linked(best)
@@ -179,8 +194,9 @@ def link_classes(
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.step") == F.col("y.step"))
     apart &= (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
     apart &= 100 * common >= percent * (F.col("x.n") + F.col("y.n") - common)
-    if wide_words:
-        apart &= bits_apart(F.col("x.wide"), F.col("y.wide"), wide_words) <= max_distance
+    if wide:
+        apart &= bits_apart(F.col("x.wide"), F.col("y.wide"), HEAD_WORDS) <= wide[0]
+        apart &= all_bits_apart(F.col("x.wide"), F.col("y.wide")) <= wide[1]
     # A pair with several keys in common comes out at the first of them only.
     apart &= F.get(F.array_intersect("x.own_keys", "y.own_keys"), F.lit(0)) == F.col("x.key")
     rest = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()

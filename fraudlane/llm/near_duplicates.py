@@ -8,7 +8,7 @@ turn, so agreement is equality of a key. Every pair within distance 20 therefore
 are compared on the whole sets (``linking.link_classes``).
 
 At a similarity of 0.85 a byte differs with probability 0.15; a pair shares no key with probability 3e-7. Pairs left
-to the last comparison are also held to a distance in a signature of 1,024 single bits, made for these documents only, which a
+to the last comparison are also held to a distance in a signature of 2,048 single bits, made for these documents only, which a
 pair at the threshold exceeds with probability 3e-4, and only if no chain of other links has joined it.
 
 Defined results: a null or blank text has no words, an empty set and no links. Texts with the same word sequence
@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlane.llm import text_arrays as ta
-from fraudlane.llm.linking import link_classes
+from fraudlane.llm.linking import HEAD_WORDS, link_classes
 from fraudlane.scratch import materialise
 
-LANES, WIDE_LANES = 64, 1024
+LANES, WIDE_LANES = 64, 2048
 _NO_ID = -(1 << 63)
 MAX_DISTANCE = 20
 CHUNKS = [(6 * i, 6, 1) for i in range(10)] + [(60, 4, 0)]
@@ -109,10 +109,10 @@ def _index(size: int):
     return run
 
 
-def wide_distance(percent: int) -> int:
-    """Three and a half standard deviations above the mean distance of a pair at ``percent`` similarity."""
+def wide_distance(bits: int, percent: int) -> int:
+    """Three and a half standard deviations above the mean distance in ``bits`` of a pair at ``percent`` similarity."""
     differs = (1 - percent / 100) / 2
-    return int(WIDE_LANES * differs + 3.5 * (WIDE_LANES * differs * (1 - differs)) ** 0.5)
+    return int(bits * differs + 3.5 * (bits * differs * (1 - differs)) ** 0.5)
 
 
 def _items(size: int):
@@ -178,7 +178,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     def contents(nodes: DataFrame) -> DataFrame:
         return nodes.mapInArrow(_items(shingle_words), "node long, items array<long>, wide array<long>")
 
-    _, roots = link_classes(classes, texts, verify, contents, percent, LANES // 8, WIDE_LANES // 64, wide_distance(percent))
+    bounds = wide_distance(64 * HEAD_WORDS, percent), wide_distance(WIDE_LANES, percent)
+    _, roots = link_classes(classes, texts, verify, contents, percent, LANES // 8, bounds)
     given = F.nullif("doc_id", F.lit(_NO_ID))
     least = filled.groupBy("node").agg(F.min(given).alias("least"))
     rooted = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
