@@ -79,6 +79,42 @@ FROM f
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: All pairs that share a shingle, and everything each document reaches over links.
+OP5 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS g
+  FROM d),
+u AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, reach) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON r.reach = e.a),
+c AS (SELECT node, min(reach) AS low FROM r GROUP BY node)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, low AS component_id, doc_id = low AS kept FROM s JOIN c ON doc_id = node
+"""
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP6 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+k AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+    SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+o AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM k) WHERE len(w) >= n)),
+h AS (SELECT o.doc_id, o.i, o.n, k.item FROM o JOIN k ON o.n = k.n AND o.s = k.s),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
 #: Blocks and shards do not matter here: the mix takes whole passes and a prefix of the permuted source.
 OP8 = r"""
 WITH d AS (
@@ -111,4 +147,4 @@ FROM p
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_mixing": OP8, "op10_warc": OP10}
+    return {"op5_near_duplicates": OP5, "op6_decontamination": OP6, "op8_mixing": OP8, "op10_warc": OP10}
