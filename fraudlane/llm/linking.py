@@ -22,8 +22,8 @@ from fraudlane.scratch import materialise
 
 #: Leads whose signatures are compared for each member and turn; the rest is left to the comparison of leftovers.
 LEADS = 4
-#: Words of a long signature that are compared before all of it.
-HEAD_WORDS = 8
+#: Longs of the bit map of a set that bounds what two sets have in common.
+MAP_WORDS = 32
 
 
 def connected_components(links: DataFrame, most: int | None = None) -> DataFrame:
@@ -58,20 +58,12 @@ def connected_components(links: DataFrame, most: int | None = None) -> DataFrame
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def all_bits_apart(left: Column, right: Column) -> Column:
-    """As ``bits_apart`` for arrays of any one length, in code that does not grow with it."""
-    each = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+def bits_in_common(left: Column, right: Column) -> Column:
+    """How many bits are set in both of two arrays of longs, in code that does not grow with their length."""
+    each = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseAND(y)))
     return F.aggregate(each, F.lit(0), lambda total, x: total + x)
 
 
-def bits_apart(left: Column, right: Column, words: int) -> Column:
-    """How many bits differ between two arrays of ``words`` longs."""
-    total = F.lit(0)
-    for i in range(words):
-        total = total + F.bit_count(F.get(left, F.lit(i)).bitwiseXOR(F.get(right, F.lit(i))))
-    return total
-
-
 def hamming_lanes(left: Column, right: Column, words: int) -> Column:
     """How many bytes differ between two arrays of ``words`` longs."""
     total = F.lit(0)
@@ -88,18 +80,27 @@ Step = Callable[[DataFrame], DataFrame]
 
 
 def _with_shared(mixed: DataFrame, store: DataFrame, contents: Step, percent: int) -> DataFrame:
-    """Adds ``n``, a set's size, and ``shared``, its items that any other node here has; drops nodes without a chance.
+    """Adds what bounds the similarity of two sets without comparing them; drops nodes without a chance.
 
-    Two sets have at most the smaller ``shared`` in common, which bounds their similarity without comparing them. In
-    a group of altered copies most alterations are a copy's own, so the bound is close to the truth.
+    ``n`` is a set's size and ``shared`` its items that any other node here has; two sets have at most the smaller
+    ``shared`` in common. ``map`` has the bit of each shared item, ``hidden`` is ``shared`` less the bits set. A bit that
+    only one of two sets has stands for an item the other lacks, so they have at most the bits of both and the smaller
+    ``hidden`` in common. Both bounds hold for every pair; in a group of altered copies they are close to the truth.
     """
     nodes = mixed.select("node").distinct()
     sets = materialise(contents(store.join(nodes, "node", "left_semi")), "sets")
     own = sets.select("node", F.explode("items").alias("item")).groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("c"))
-    own = own.where("c = 1").groupBy("node").agg(F.count("*").alias("own"))
-    sizes = sets.select("node", "wide", F.size("items").cast("long").alias("n")).join(own, "node", "left")
-    sizes = sizes.select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"), "wide")
-    return mixed.join(sizes.where(100 * F.col("shared") >= percent * F.col("n")), "node")
+    own = own.where("c = 1").groupBy("node").agg(F.collect_list("item").alias("own"))
+    held = sets.join(own, "node", "left").select(
+        "node", F.size("items").cast("long").alias("n"), F.array_except("items", F.coalesce("own", F.array().cast("array<long>"))).alias("held")
+    )
+    held = held.withColumn("shared", F.size("held").cast("long")).where(100 * F.col("shared") >= percent * F.col("n"))
+    bit = F.xxhash64("item")
+    word, value = F.pmod(bit, F.lit(MAP_WORDS)), F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(bit, 58).cast("int"))
+    each = held.select("node", "n", "shared", F.explode("held").alias("item")).select("node", "n", "shared", word.alias("w"), value.alias("v"))
+    maps = each.groupBy("node", "n", "shared").agg(*(F.coalesce(F.bit_or(F.when(F.col("w") == i, F.col("v"))), F.lit(0)).alias(f"m{i}") for i in range(MAP_WORDS)))
+    maps = maps.select("node", "n", "shared", F.array(*(f"m{i}" for i in range(MAP_WORDS))).alias("map"))
+    return mixed.join(maps.withColumn("hidden", F.col("shared") - bits_in_common(F.col("map"), F.col("map"))), "node")
 
 
 def _mixed(rooted: DataFrame) -> DataFrame:
@@ -115,7 +116,6 @@ def link_classes(
     contents: Step,
     percent: int,
     words: int = 0,
-    wide: tuple[int, int] | None = None,
     rounds: int = 3,
 ) -> tuple[DataFrame, DataFrame]:
     """Links and components of classes whose sets have 100 * common >= ``percent`` * union and that share a key.
@@ -123,12 +123,11 @@ def link_classes(
     ``classes`` has ``node`` long, ``keys`` array<long>, and ``sig`` array<long> of ``words`` longs where ``words`` is
     not 0; without ``sig`` a node may stand in several equal rows. ``texts`` gives (node, text) of the nodes passed,
     one row each; it is called once, for the nodes that share a key with another. ``verify`` keeps (a, b) of those
-    rows of (a, b, text_a, text_b) that are links, and ``contents`` makes (node, items, wide) of (node, text): the set,
-    and a longer signature for the few nodes whose links are not settled by the leads.
+    rows of (a, b, text_a, text_b) that are links, and ``contents`` makes (node, items) of (node, text), the set, for the
+    few nodes whose links are not settled by the leads.
 
-    Leftover pairs are compared if their long signatures differ in at most ``wide`` bits, in their first ``HEAD_WORDS``
-    longs and in all, (where there are any) and the bound of ``_with_shared`` allows a link. Returns links (a, b) and (node, root) of linked nodes
-    that are no roots.
+    Leftover pairs are all compared, but for those that the bounds of ``_with_shared`` prove to be no links. Returns links
+    (a, b) and (node, root) of linked nodes that are no roots.
     """
     spark = classes.sparkSession
     rows = classes.select(F.explode(F.array_distinct("keys")).alias("key"), "node")
@@ -194,11 +193,10 @@ def link_classes(
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.step") == F.col("y.step"))
     apart &= (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
     apart &= 100 * common >= percent * (F.col("x.n") + F.col("y.n") - common)
-    if wide:
-        apart &= bits_apart(F.col("x.wide"), F.col("y.wide"), HEAD_WORDS) <= wide[0]
-        apart &= all_bits_apart(F.col("x.wide"), F.col("y.wide")) <= wide[1]
     # A pair with several keys in common comes out at the first of them only.
     apart &= F.get(F.array_intersect("x.own_keys", "y.own_keys"), F.lit(0)) == F.col("x.key")
+    most = bits_in_common(F.col("x.map"), F.col("y.map")) + F.least("x.hidden", "y.hidden")
+    apart &= 100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)
     rest = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     rest = materialise(rest.join(done, ["a", "b"], "left_anti"), "pairs")
     links = links.union(linked(rest))

@@ -7,9 +7,8 @@ allowed error, in at least one chunk. The allowed error is enumerated by leaving
 turn, so agreement is equality of a key. Every pair within distance 20 therefore shares a key, and shared keys
 are compared on the whole sets (``linking.link_classes``).
 
-At a similarity of 0.85 a byte differs with probability 0.15; a pair shares no key with probability 3e-7. Pairs left
-to the last comparison are also held to a distance in a signature of 2,048 single bits, made for these documents only, which a
-pair at the threshold exceeds with probability 3e-4, and only if no chain of other links has joined it.
+At a similarity of 0.85 a byte differs with probability 0.15; a pair shares no key with probability 3e-7. That is the
+only loss: of pairs that share a key, none is left out but by bounds that prove it to be no link.
 
 Defined results: a null or blank text has no words, an empty set and no links. Texts with the same word sequence
 are one class and linked. Repeated rows are answered once each; rows that share a ``doc_id`` are one node of the
@@ -28,18 +27,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlane.llm import text_arrays as ta
-from fraudlane.llm.linking import HEAD_WORDS, link_classes
+from fraudlane.llm.linking import link_classes
 from fraudlane.scratch import materialise
 
-LANES, WIDE_LANES = 64, 2048
+LANES = 64
 _NO_ID = -(1 << 63)
 MAX_DISTANCE = 20
 CHUNKS = [(6 * i, 6, 1) for i in range(10)] + [(60, 4, 0)]
 assert sum(errors + 1 for _, _, errors in CHUNKS) >= MAX_DISTANCE + 1
 
 _RANDOM = np.random.default_rng(20)
-_XOR = _RANDOM.integers(0, 1 << 63, WIDE_LANES, dtype=np.uint64)
-_ODD = _RANDOM.integers(0, 1 << 63, WIDE_LANES, dtype=np.uint64) | np.uint64(1)
+_XOR = _RANDOM.integers(0, 1 << 63, LANES, dtype=np.uint64)
+_ODD = _RANDOM.integers(0, 1 << 63, LANES, dtype=np.uint64) | np.uint64(1)
 
 
 def shingles(words: ta.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,12 +108,6 @@ def _index(size: int):
     return run
 
 
-def wide_distance(bits: int, percent: int) -> int:
-    """Three and a half standard deviations above the mean distance in ``bits`` of a pair at ``percent`` similarity."""
-    differs = (1 - percent / 100) / 2
-    return int(bits * differs + 3.5 * (bits * differs * (1 - differs)) ** 0.5)
-
-
 def _items(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,11 +117,8 @@ def _items(size: int):
                 sets = [np.unique(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
                 items = np.concatenate(sets)
-                bits = np.packbits(signatures(items, ends, WIDE_LANES) & 1, axis=1)
-                wide = bits.view(np.int64).ravel()
-                edge = np.arange(part.num_rows + 1) * (WIDE_LANES // 64)
-                columns = [part.column(0), ta.list_column(items.view(np.int64), ends), ta.list_column(wide, edge)]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "items", "wide"])
+                columns = [part.column(0), ta.list_column(items.view(np.int64), ends)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "items"])
 
     return run
 
@@ -176,10 +166,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         return pairs.mapInArrow(_verified(shingle_words, percent), "a long, b long")
 
     def contents(nodes: DataFrame) -> DataFrame:
-        return nodes.mapInArrow(_items(shingle_words), "node long, items array<long>, wide array<long>")
+        return nodes.mapInArrow(_items(shingle_words), "node long, items array<long>")
 
-    bounds = wide_distance(64 * HEAD_WORDS, percent), wide_distance(WIDE_LANES, percent)
-    _, roots = link_classes(classes, texts, verify, contents, percent, LANES // 8, bounds)
+    _, roots = link_classes(classes, texts, verify, contents, percent, LANES // 8)
     given = F.nullif("doc_id", F.lit(_NO_ID))
     least = filled.groupBy("node").agg(F.min(given).alias("least"))
     rooted = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
