@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fraudlane.llm.decontaminate import scan_contamination
 from fraudlane.llm.fuzzy_lines import dedup_lines
 from fraudlane.llm.html_text import extract_main_text
+from fraudlane.llm.importance import resample
 from fraudlane.llm.language_id import language_of_documents
 from fraudlane.llm.mixing import mix_sources
 from fraudlane.llm.near_duplicates import near_duplicates
@@ -17,6 +18,7 @@ from fraudlane.llm.quality_crf import quality_scores
 from fraudlane.llm.quality_rules import quality_rules
 from fraudlane.llm.sentence_spans import remove_repeated_passages
 from fraudlane.llm.warc import archive_round_trip
+from fraudlane.llm.whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,8 +66,32 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = (
+    op1_html_extraction,
+    op2_substring_dedup,
+    op3_language_id,
+    op4_line_dedup,
+    op5_near_duplicates,
+    op6_decontamination,
+    op7_quality_classifier,
+    op8_mixing,
+    op9_quality_rules,
+    op10_warc,
+    op12_whitening,
+    op13_importance_resampling,
+)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_substring_dedup, op3_language_id, op4_line_dedup, op5_near_duplicates, op6_decontamination, op7_quality_classifier, op8_mixing, op9_quality_rules, op10_warc)}
+    return {f.__name__: f for f in QUERIES}
 
 
 #: Equal payloads are grouped by themselves here, not by their digests.
