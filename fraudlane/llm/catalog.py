@@ -172,5 +172,44 @@ FROM p
 """
 
 
+def _crc_table() -> list[int]:
+    """What a byte adds to a CRC-32."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [(n >> 1) ^ (0xEDB88320 if n & 1 else 0) for n in table]
+    return table
+
+
+_CRC_TABLE = _crc_table()
+#: Each distinct feature is hashed byte by byte; everything else is counting.
+OP13 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+b AS (SELECT {_WORDS} AS w FROM benchmark),
+g AS (SELECT doc_id, r, len(w) AS n, w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS f FROM d),
+df AS (SELECT r, unnest(f) AS f FROM g),
+bf AS (SELECT unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM b),
+v AS (SELECT DISTINCT f FROM (SELECT f FROM df UNION ALL SELECT f FROM bf)),
+h AS (
+  SELECT f, xor(list_reduce([4294967295::BIGINT] || list_transform(range(0, strlen(f)), lambda i: ('0x' || substr(hex(f), 2 * i + 1, 2))::BIGINT),
+    lambda c, x: xor(c >> 8, ({_CRC_TABLE})[xor(c, x) % 256 + 1])), 4294967295) % 10000 AS k
+  FROM v),
+s AS (SELECT k, count(*) AS n FROM df JOIN h USING (f) GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM bf JOIN h USING (f) GROUP BY k),
+z AS (SELECT (SELECT count(*) FROM df)::DOUBLE AS s, (SELECT count(*) FROM bf)::DOUBLE AS t),
+gain AS (
+  SELECT k, floor(1000 * ln((coalesce(t.n, 0) + 1) * (z.s + 10000) / ((coalesce(s.n, 0) + 1) * (z.t + 10000))))::BIGINT AS gain
+  FROM (SELECT DISTINCT k FROM h) LEFT JOIN s USING (k) LEFT JOIN t USING (k), z),
+w AS (SELECT r, sum(gain)::BIGINT AS total FROM df JOIN h USING (f) JOIN gain USING (k) GROUP BY r),
+q AS (
+  SELECT doc_id, n, r, len(f) AS n_features, coalesce(floor(total::DOUBLE / len(f)), 0)::BIGINT AS weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS noise
+  FROM g LEFT JOIN w USING (r)),
+p AS (
+  SELECT *, weight + noise AS score, n >= 20 AS able, count(*) FILTER (WHERE n >= 20) OVER () AS total,
+    row_number() OVER (PARTITION BY n >= 20 ORDER BY weight + noise DESC, doc_id NULLS LAST) AS place FROM q)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN able AND place <= 25 * total // 100 THEN place END AS rank FROM p
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op5_near_duplicates": OP5, "op6_decontamination": OP6, "op8_mixing": OP8, "op10_warc": OP10}
+    return {"op5_near_duplicates": OP5, "op6_decontamination": OP6, "op8_mixing": OP8, "op10_warc": OP10, "op13_importance_resampling": OP13}
