@@ -16,6 +16,7 @@ from fraudlane.llm.mixing import mix_sources
 from fraudlane.llm.near_duplicates import near_duplicates
 from fraudlane.llm.quality_crf import quality_scores
 from fraudlane.llm.quality_rules import quality_rules
+from fraudlane.llm.repeated_bytes import remove_repeated_bytes
 from fraudlane.llm.sentence_spans import remove_repeated_passages
 from fraudlane.llm.warc import archive_round_trip
 from fraudlane.llm.whitening import whiten
@@ -66,6 +67,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +91,7 @@ QUERIES = (
     op8_mixing,
     op9_quality_rules,
     op10_warc,
+    op11_suffix_dedup,
     op12_whitening,
     op13_importance_resampling,
 )
@@ -171,6 +178,29 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+#: Every string of 200 bytes by itself, from pieces of 455 bytes; a byte is two digits here, so that places are bytes.
+OP11 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, '')) AS n, hex(coalesce(text, '')) AS h FROM documents),
+x AS (SELECT r, c, substr(h, 2 * c + 1, 910) AS h FROM (SELECT r, h, unnest(range(0, greatest(n - 199, 0), 256)) AS c FROM d)),
+s AS (
+  SELECT r, c + j AS p, md5_number(substr(h, 2 * j + 1, 400)) AS k
+  FROM (SELECT r, c, h, unnest(range(0, least(256, len(h) // 2 - 199))) AS j FROM x)),
+m AS (SELECT r, p FROM s WHERE k IN (SELECT k FROM s GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT r, p, coalesce(p - lag(p) OVER (PARTITION BY r ORDER BY p) > 200, true)::INT AS new FROM m),
+i AS (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS run FROM g),
+u AS (SELECT r, run, min(p) AS a, max(p) + 200 AS b FROM i GROUP BY r, run),
+c AS (
+  SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM u),
+k AS (
+  SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM c JOIN d USING (r) GROUP BY r)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
 
 def _crc_table() -> list[int]:
     """What a byte adds to a CRC-32."""
@@ -212,4 +242,4 @@ SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN able A
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op5_near_duplicates": OP5, "op6_decontamination": OP6, "op8_mixing": OP8, "op10_warc": OP10, "op13_importance_resampling": OP13}
+    return {"op5_near_duplicates": OP5, "op6_decontamination": OP6, "op8_mixing": OP8, "op10_warc": OP10, "op11_suffix_dedup": OP11, "op13_importance_resampling": OP13}
