@@ -27,15 +27,19 @@ def _renamed(style: str) -> str:
 
 
 _TXN = f"""
-with shaped as (
-  select event_id as id,
-         cast((epoch_us(ts) - min(epoch_us(ts)) over ()) // 1000000 as int) as "time",
+with counted as (
+  select count(*) as n_vectors from embeddings
+), started as (
+  select min(epoch_us(ts)) as first_us from events
+), shaped as (
+  select event_id as id, event_id % n_vectors as vector_id,
+         cast((epoch_us(ts) - first_us) // 1000000 as int) as "time",
          cast(case {_RANGES} else 0 end as int) as amountRange
-  from events
+  from events, counted, started
 ), featured as (
-  select e.*, {_PCA}
-  from shaped e join embeddings b on e.id % (select count(*) from embeddings) = b.vec_id
-), txn as (
+  select e.* exclude (vector_id), {_PCA}
+  from shaped e join embeddings b on e.vector_id = b.vec_id
+), txn as materialized (
   select *, cast(case when pca0 + pca1 > {LABEL_SUM} and amountRange >= {LABEL_AMOUNT_RANGE}
                  then 1 else 0 end as int) as label
   from featured
@@ -107,10 +111,11 @@ def _runs(source: str, by: str = "") -> str:
     return " union all ".join(parts)
 
 
-_WRONG = "gold p join txn v on p.id = v.id where p.prediction <> v.label"
+# Prediction and truth of a row are joined by its id there; here they come from one scan.
+_WRONG = "scored p where p.prediction <> p.label"
 _GOLD = "select id, \"time\", amountRange, prediction from gold"
 _TEST_ROWS = f"(select * from txn where {_part(q.TRAIN_TEST, q.TRAIN_TEST_SEED)} = 'test')"
-_TEST_LABELS = f"select label, count(*) as n_rows, 0::bigint as n_out_of_range, 0::bigint as n_changed from {_TEST_ROWS} group by label"
+_TEST_LABELS = f"select label, count(*) as n_rows, 0::bigint as n_out_of_range from {_TEST_ROWS} group by label"
 _TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 )
@@ -138,6 +143,18 @@ def _literals() -> str:
     )
 
 
+def _answers() -> str:
+    """One answer for each request: predictions in order, and the faults of its records."""
+    kind = f"id % {len(q.REQUEST_DAMAGES)}"
+    faults = " ".join(f"when {kind} = {i} then '{fault}'" for i, (_, _, fault) in enumerate(q.REQUEST_DAMAGES) if fault)
+    return f"""select request_id, '{{"predictions":[' || predictions || ']' ||
+            case when errors is null then '' else ',"errors":["' || errors || '"]' end || '}}' as response from (
+          select request_id, string_agg(case when fault is null then cast(prediction as varchar) else 'null' end, ',' order by id) as predictions,
+            string_agg('record ' || id % {q.REQUEST_RECORDS} || ': ' || fault, '","' order by id) filter (where fault is not null) as errors
+          from (select id, prediction, id // {q.REQUEST_RECORDS} as request_id, case {faults} end as fault from scored)
+          group by request_id)"""
+
+
 def oracle_queries() -> dict[str, str]:
     gold_as_cells = _cells_of("numbered", f"{q.FIRST_STAMP}::bigint as stamp_us, batch_no")
     numbered = f"select *, (row_number() over (order by id) - 1) // {q.BATCH_ROWS} as batch_no from gold"
@@ -207,7 +224,7 @@ def oracle_queries() -> dict[str, str]:
         "gold_clean": f"{_GOLD} where prediction = 0",
         "high_value_fraud": f"""select id, "time", amountRange from gold
             where amountRange > {q.HIGH_AMOUNT_RANGE} and prediction = 1""",
-        "mispredictions": f'select p.id, p."time", p.amountRange, p.prediction, v.label from {_WRONG}',
+        "mispredictions": f'select p.id, p."time", p.amountRange, p.prediction, p.label from {_WRONG}',
         "masked_rows": f"select id, {_FEATURE_LIST} from txn where label = 1",
         "false_positive_count": f"select count(p.id) as false_positive_count from {_WRONG} and p.prediction = 1",
         "row_count": "select count(*) as n_rows from txn",
@@ -236,6 +253,12 @@ def oracle_queries() -> dict[str, str]:
              order by id limit {q.SCORING_ROWS}) union all
             (select * from txn where {_part(q.HOLDOUT, q.HOLDOUT_SEED)} = 'test' and label = 1
              order by id limit {q.SCORING_ROWS}))""",
+        "identity_appends": f"""select row_number() over (order by amountRange > {q.REWRITE_ABOVE}, "time", amountRange, {_FEATURE_LIST}, label) as id,
+            "time", amountRange, {_FEATURE_LIST}, label from txn""",
+        "payload_contract": _answers(),
+        "rf_likelihood": f"""select count(*) as n_rows, round(var_pop(label::double), 9) as baseline_error, 1 as beats_baseline,
+            0::bigint as n_out_of_range from {_TEST_ROWS}""",
+        "rf_calibration": f"""select count(*) as n_rows, round(avg(label), 9) as positive_share, 0::bigint as n_misplaced from {_TEST_ROWS}""",
         "rf_predictions": _TEST_LABELS,
         "rf_probability": _TEST_LABELS,
         "grid_runs": f"""select 'depth' || lpad(d::varchar, 2, '0') || '_trees' || lpad(t::varchar, 3, '0') as run_key,
@@ -265,6 +288,7 @@ def oracle_queries() -> dict[str, str]:
             cast(case when amountRange > {q.REWRITE_ABOVE} then prediction else {_votes(q.LOOSE_CUT)} end as varchar) as prediction,
             cast("time" as varchar) as "time", cast(amountRange as varchar) as amountRange from scored""",
     }
+    on_txn["kv_compaction"] = on_txn["kv_latest"]
     on_txn["high_value_fraud_udf"] = on_txn["high_value_fraud"]
     on_txn["mispredictions_bucketed"] = on_txn["mispredictions"]
     direct = {

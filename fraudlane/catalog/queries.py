@@ -18,8 +18,8 @@ from ..functions import names, scoring
 from ..operators import evaluate, explore, numbering, reconcile, reshape, sampling
 from ..plans import medallion, runs, training
 from ..plans.transactions import feature_vectors, raw_transactions, transactions, with_transactions
-from ..scratch import scratch_path, unique_name
-from ..sources import files, keyed, payload, tables
+from ..scratch import materialise, scratch_path, unique_name
+from ..sources import files, identity, keyed, payload, tables
 from ..sources.warehouse import Warehouse
 from ..streaming import scoring as streams
 
@@ -41,6 +41,16 @@ QUALIFIERS = ["prediction", "time", "amountRange"]
 FIRST_STAMP, SECOND_STAMP = 1_700_000_000_000_000, 1_700_000_060_000_000
 LOOSE_CUT, REWRITE_ABOVE = 0.15, 2
 USER_DOMAIN = "@example.org"
+# What is done to the records of some requests, in turn by id: a pattern, its replacement, and the fault that makes.
+REQUEST_DAMAGES = (
+    ("(?!)", "", ""),
+    (r'"pca\[3\]":[^,}]+,', "", "pca[3] is missing"),
+    (r"\}$", ',"surplus":[1,"x"]}', ""),
+    (r'"pca\[4\]":[^,}]+', '"pca[4]":"0.5"', "pca[4] is string"),
+    (r'"pca\[0\]":[^,}]+', '"pca[0]":null', "pca[0] is null"),
+    (r'"pca\[1\]":[^,}]+,"pca\[2\]":[^,}]+', '"pca[2]":true', "pca[1] is missing, pca[2] is boolean"),
+    (r"^.*$", "7", "is no object"),
+)
 
 CUSTOMER_SCHEMA = T.StructType(
     [
@@ -184,6 +194,18 @@ def silver(spark, sf_dir):
     return medallion.build_silver(spark, database)
 
 
+@query
+def identity_appends(spark, sf_dir):
+    """Transactions appended in two loads, the first one handed in twice: ids go on from the first load."""
+    txn = transactions(spark, sf_dir)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in txn.drop("id").schema)
+    table = identity.IdentityTable.create(spark, columns)
+    low = F.col("amountRange") <= REWRITE_ABOVE
+    for key, rows in (("low", txn.where(low)), ("low", txn.where(low)), ("high", txn.where(~low))):
+        table.append(rows.drop("id"), key)
+    return table.read()
+
+
 @query
 def gold(spark, sf_dir):
     return medallion.build_gold(transactions(spark, sf_dir), tables.create_database(spark))
@@ -254,19 +276,21 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.batched_cells(_predictions(spark, sf_dir), QUALIFIERS, FIRST_STAMP, batch_rows=BATCH_ROWS)
 
 
-def _store(spark: SparkSession) -> keyed.KeyedStore:
-    return keyed.KeyedStore.create(spark, f"{tables.create_database(spark)}.cells")
+def _store(spark: SparkSession, sf_dir: str, **sizes) -> keyed.KeyedStore:
+    """A store with buckets for the cells of one prediction for each event."""
+    sizes.setdefault("cells", len(QUALIFIERS) * files.read_table(spark, sf_dir, "events", ["event_id"]).count())
+    return keyed.KeyedStore.create(spark, f"{tables.create_database(spark)}.cells", **sizes)
 
 
 def _filled_store(spark: SparkSession, sf_dir: str) -> keyed.KeyedStore:
-    store = _store(spark)
+    store = _store(spark, sf_dir)
     store.write(keyed.to_cells(_predictions(spark, sf_dir), QUALIFIERS, FIRST_STAMP), 1)
     return store
 
 
 @query
 def kv_cells(spark, sf_dir):
-    store = _store(spark)
+    store = _store(spark, sf_dir)
     store.write(_cells(spark, sf_dir), 1)
     return store.cells().select("row_key", "family", "qualifier", "value", "stamp_us", "batch_no")
 
@@ -286,7 +310,7 @@ def kv_batches(spark, sf_dir):
 @query
 def kv_latest(spark, sf_dir):
     """A loose rule wrote every row; later the usual rule wrote some of them again."""
-    store = _store(spark)
+    store = _store(spark, sf_dir)
     txn = transactions(spark, sf_dir)
     loose = medallion.gold_rows(txn, scoring.vote_score(single_cut=LOOSE_CUT))
     again = medallion.gold_rows(txn.where(F.col("amountRange") > REWRITE_ABOVE))
@@ -295,6 +319,23 @@ def kv_latest(spark, sf_dir):
     return store.latest()
 
 
+@query
+def kv_compaction(spark, sf_dir):
+    """The newest cells after five writes that were merged by levels in between, the store outgrowing its buckets."""
+    txn = transactions(spark, sf_dir)
+    n_cells = len(QUALIFIERS) * txn.count()
+    store = _store(spark, sf_dir, cells=0, bucket_cells=max(1, n_cells // (4 * keyed.BUCKETS)))
+    loose = medallion.gold_rows(txn, scoring.vote_score(single_cut=LOOSE_CUT))
+    for part in range(4):
+        rows = loose.where(F.pmod("id", F.lit(4)) == part)
+        store.write(keyed.to_cells(rows, QUALIFIERS, FIRST_STAMP), part)
+        store.compact(fan=2)
+    again = medallion.gold_rows(txn.where(F.col("amountRange") > REWRITE_ABOVE))
+    store.write(keyed.to_cells(again, QUALIFIERS, SECOND_STAMP), 4)
+    store.vacuum()
+    return store.latest()
+
+
 def _mispredicted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     txn = transactions(spark, sf_dir)
     wrong = reconcile.mispredictions(medallion.gold_rows(txn), _truth(txn))
@@ -408,6 +449,20 @@ def payload_response_udf(spark, sf_dir):
     return payload.respond_with_udf(requests, scoring.vote_udf())
 
 
+@query
+def payload_contract(spark, sf_dir):
+    """Requests whose records lack a field, have one too many, or one of another kind, answered under the features' contract."""
+    txn = transactions(spark, sf_dir)
+    names = feat.feature_names("flattened")
+    values = ", ".join(f"'{n}', {s}" for s, n in zip(feat.FEATURES, names))
+    record = F.expr(f"to_json(named_struct({values}))")
+    kind = F.pmod("id", F.lit(len(REQUEST_DAMAGES)))
+    found, put = (F.get(F.lit([d[i] for d in REQUEST_DAMAGES]), kind) for i in (0, 1))
+    record = F.regexp_replace(record, found, put)
+    requests = payload.bundle_records(txn, record, REQUEST_RECORDS)
+    return payload.respond_checked(requests, feat.feature_signature(), lambda *fields: scoring.vote_sql(*fields[:2]))
+
+
 @query
 def batch_stamp(spark, sf_dir):
     """One stamp for a whole job, fixed when the job is built: rows, and stamps among them."""
@@ -614,10 +669,6 @@ def scoring_sample(spark, sf_dir):
 # Training, runs and versions
 
 
-def _train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.split(transactions(spark, sf_dir), TRAIN_TEST, TRAIN_TEST_SEED)["train"]
-
-
 def _train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     parts = sampling.split(transactions(spark, sf_dir), TRAIN_TEST, TRAIN_TEST_SEED)
     return training.training_frame(parts["train"]), parts["test"]
@@ -625,29 +676,45 @@ def _train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 @query
 def rf_predictions(spark, sf_dir):
+    """For each label: test rows and scores that are no class."""
     train, test = _train_and_test(spark, sf_dir)
-    """For each label: test rows, scores that are no class, and scores that another fit changes."""
-    again = training.training_frame(_train_rows(spark, sf_dir).repartition(3, "amountRange"))
-    scored = training.predict(training.fit_forest(train), training.assemble(test))
-    scored = training.predict(training.fit_forest(again), scored, "refitted")
+    scored = training.predict(training.fit_forest(train), test)
     return scored.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~F.col("prediction").isin(0, 1)).alias("n_out_of_range"),
-        F.count_if(F.col("prediction") != F.col("refitted")).alias("n_changed"),
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("prediction").isin(0, 1)).alias("n_out_of_range")
     )
 
 
 @query
 def rf_probability(spark, sf_dir):
+    """For each label: test rows and probabilities out of range."""
     train, test = _train_and_test(spark, sf_dir)
-    """For each label: test rows, probabilities out of range, and those that another fit changes."""
-    again = training.training_frame(_train_rows(spark, sf_dir).repartition(3, "amountRange"))
-    scored = training.fraud_probability(training.fit_forest(train), training.assemble(test))
-    scored = training.fraud_probability(training.fit_forest(again), scored, "refitted")
+    scored = training.fraud_probability(training.fit_forest(train), test)
     return scored.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~F.col("fraud_probability").between(0, 1)).alias("n_out_of_range"),
-        F.count_if(F.abs(F.col("fraud_probability") - F.col("refitted")) > 1e-9).alias("n_changed"),
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("fraud_probability").between(0, 1)).alias("n_out_of_range")
+    )
+
+
+@query
+def rf_likelihood(spark, sf_dir):
+    """A regression forest: test rows, scores beyond 0 to 1, and whether its error beats the share of positives."""
+    train, test = _train_and_test(spark, sf_dir)
+    scored = materialise(training.likelihood(training.fit_likelihood(train), test).select("label", "likelihood"), "likelihood")
+    errors = training.likelihood_errors(scored)
+    better = (F.col("squared_error") <= F.col("baseline_error")).cast("int").alias("beats_baseline")
+    beyond = scored.agg(F.count_if(~F.col("likelihood").between(0, 1))).scalar()
+    return errors.select("n_rows", F.round("baseline_error", 9).alias("baseline_error"), better, beyond.alias("n_out_of_range"))
+
+
+@query
+def rf_calibration(spark, sf_dir):
+    """Scores of the regression forest by tenths, put together again: all test rows, and the share of positives among them."""
+    train, test = _train_and_test(spark, sf_dir)
+    bins = training.calibration(training.likelihood(training.fit_likelihood(train), test))
+    rows = F.sum("n_rows")
+    share = F.sum(F.col("positive_share") * F.col("n_rows")) / rows
+    inside = F.floor(F.col("mean_score") * 10 + 1e-9).between(F.col("score_bin"), F.col("score_bin") + 1)
+    return bins.agg(
+        rows.alias("n_rows"), F.round(share, 9).alias("positive_share"), F.count_if(~inside).alias("n_misplaced")
     )
 
 
@@ -685,10 +752,12 @@ def tree_nodes(spark, sf_dir):
 
 @query
 def model_round_trip(spark, sf_dir):
-    """A stored and reloaded forest scores every test row as the one in memory does."""
+    """A stored and reloaded forest scores every test row, and the example stored with it, as the one in memory does."""
     train, test = _train_and_test(spark, sf_dir)
     model = training.fit_forest(train)
-    loaded = training.load_model(training.save_model(model))
+    path = training.save_model(model, example=test)
+    loaded = training.load_model(path)
+    training.check_example(spark, path, loaded)
     scored = training.predict(loaded, training.predict(model, test, "in_memory"), "reloaded")
     return training.compare_predictions(scored, F.col("in_memory"), F.col("reloaded"))
 
@@ -723,11 +792,12 @@ def model_chain(spark, sf_dir):
     path = versions.production_path("cc_fraud", log)
     scored = training.predict_stored(spark, path, transactions(spark, sf_dir), ["id", "time", "amountRange"])
     stored = medallion.build_gold(scored, database, F.col("prediction"))
-    n_runs = log.runs().agg(F.count(F.lit(1)).alias("n_runs"))
-    live = versions.production().select("version", "stage")
-    return stored.agg(
+    n_runs = log.runs().agg(F.count(F.lit(1))).scalar()
+    live = versions.production().where(F.col("model") == "cc_fraud")
+    scores = stored.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("prediction").isin(0, 1)).alias("n_out_of_range")
-    ).join(F.broadcast(n_runs)).join(F.broadcast(live))
+    )
+    return scores.select("*", n_runs.alias("n_runs"), *[live.select(c).scalar().alias(c) for c in ("version", "stage")])
 
 
 @query
@@ -765,8 +835,8 @@ def production_version(spark, sf_dir):
     versions = runs.ModelVersions.create(spark, f"{tables.create_database(spark)}.stages")
     by_range = runs.threshold_runs(transactions(spark, sf_dir), ["amountRange"])
     named = by_range.withColumn("model", F.concat(F.lit("cc_fraud_"), F.col("amountRange").cast("string")))
-    versions.append(runs.promotion_events(named))
-    return versions.production()
+    versions.append(runs.ordered_registrations(named))
+    return versions.production().select("model", "version", "run_key", "stage")
 
 
 # Streams
@@ -794,7 +864,7 @@ def stream_scoring(spark, sf_dir):
 @query
 def stream_upsert(spark, sf_dir):
     """Streamed scores over cells that a batch wrote before with the loose rule."""
-    store = _store(spark)
+    store = _store(spark, sf_dir)
     loose = medallion.gold_rows(
         transactions(spark, sf_dir), scoring.vote_score(single_cut=LOOSE_CUT)
     )

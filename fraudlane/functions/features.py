@@ -33,15 +33,24 @@ def quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def rename_fields(names: list[str], style: str) -> list[str]:
+    """Feature names of any style in ``style``; other names as they are."""
+    renamed = []
+    for name in names:
+        match = _ANY_STYLE.match(name)
+        position = match and next(group for group in match.groups() if group is not None)
+        renamed.append(NAME_STYLES[style].format(position) if match else name)
+    return renamed
+
+
 def rename_features(df: DataFrame, style: str) -> DataFrame:
     """Rename feature columns of any style to ``style``; other columns keep their names."""
-    mapping = {}
-    for name in df.columns:
-        match = _ANY_STYLE.match(name)
-        if match:
-            position = next(group for group in match.groups() if group is not None)
-            mapping[name] = NAME_STYLES[style].format(position)
-    return df.withColumnsRenamed(mapping)
+    return df.withColumnsRenamed(dict(zip(df.columns, rename_fields(df.columns, style))))
+
+
+def feature_signature() -> str:
+    """The contract of the features alone, as doubles."""
+    return T.StructType([T.StructField(name, T.DoubleType()) for name in FEATURES]).json()
 
 
 def pack_vector(df: DataFrame, name: str = "pcaVector") -> DataFrame:

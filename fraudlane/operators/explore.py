@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..scratch import materialise
+
+# Groups a task holds before it passes their moments on.
+_GROUPS = 256
 
 
 def in_closed_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
@@ -37,24 +45,97 @@ def scatter_bins(df: DataFrame, x: str, y: str, x_width: float, y_width: float)
     return df.groupBy(*bins).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _block_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(group, n, mean, gram) of the rows of a task: products are centred in each block and blocks merged by Chan's rule."""
+    held: dict = {}
+
+    def told() -> pa.RecordBatch:
+        found = list(held.items())
+        upper = None if not found else np.triu_indices(len(found[0][1][1]))
+        columns = [
+            pa.array([g for g, _ in found], kind),
+            pa.array([n for _, (n, _, _) in found], pa.int64()),
+            pa.array([mean for _, (_, mean, _) in found], pa.list_(pa.float64())),
+            pa.array([gram[upper] for _, (_, _, gram) in found], pa.list_(pa.float64())),
+        ]
+        held.clear()
+        return pa.RecordBatch.from_arrays(columns, ["group", "n", "mean", "gram"])
+
+    kind = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        kind = batch.column(0).type
+        rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        coded = batch.column(0).dictionary_encode(null_encoding="encode")
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        for code, group in enumerate(coded.dictionary.to_pylist()):
+            block = rows[codes == code]
+            n, mean = len(block), block.mean(axis=0)
+            gram = (block - mean).T @ (block - mean)
+            if group in held:
+                n0, mean0, gram0 = held[group]
+                apart = mean - mean0
+                gram = gram0 + gram + np.outer(apart, apart) * (n0 * n / (n0 + n))
+                mean = mean0 + apart * (n / (n0 + n))
+                n += n0
+            held[group] = (n, mean, gram)
+        if len(held) > _GROUPS:
+            yield told()
+    if held:
+        yield told()
+
+
+def moments(df: DataFrame, columns: list[str], by: str) -> DataFrame:
+    """``by``, n, mean and gram of each group: the centred products of every pair of columns, in the order of the upper triangle.
+
+    Tasks give the moments of their blocks; these are merged around the mean of the group, so nothing is ever subtracted from
+    a sum of squares, and a mean that is large against the spread costs no digits. Rows with a NULL or a NaN in any
+    of the columns are left out.
+    """
+    usable = " AND ".join(f"`{c}` IS NOT NULL AND NOT isnan(`{c}`)" for c in columns)
+    values = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in columns)
+    packed = df.where(usable).selectExpr(f"`{by}` AS `group`", f"array({values}) AS x")
+    made = packed.select("group").schema.add("n", T.LongType())
+    for name in ("mean", "gram"):
+        made = made.add(name, T.ArrayType(T.DoubleType()))
+    blocks = materialise(packed.mapInArrow(_block_moments, made), "block_moments")
+    # A mean of means is off by its last digits only; the products then take what each block's mean is off from it.
+    shares = [F.sum(F.col("n") * F.get("mean", F.lit(i))) / F.sum("n") for i in range(len(columns))]
+    whole = blocks.groupBy(F.col("group").alias("g")).agg(F.sum("n").alias("total"), F.array(*shares).alias("centre"))
+    joined = blocks.join(whole, F.col("group").eqNullSafe(F.col("g")))
+    off = joined.withColumn("off", F.zip_with("mean", "centre", lambda m, c: m - c))
+    each = off.select("group", "total", "centre", "n", "off", F.posexplode("gram").alias("pair", "own"))
+    left, right = (F.get("off", _member(len(columns), side)) for side in (0, 1))
+    summed = each.groupBy("group", "total", "centre", "pair").agg(F.sum(F.col("own") + F.col("n") * left * right).alias("sum"))
+    # One entry for each pair of columns, whatever the rows are.
+    listed = F.array_sort(F.collect_list(F.struct("pair", "sum")))
+    merged = summed.groupBy("group", "total", "centre").agg(F.transform(listed, lambda x: x["sum"]).alias("gram"))
+    return merged.select(F.col("group").alias(by), F.col("total").alias("n"), F.col("centre").alias("mean"), "gram")
+
+
+def _member(n_columns: int, side: int) -> Column:
+    """The first or second column of ``pair``, a place in the upper triangle."""
+    return F.get(F.lit([int(x) for x in np.triu_indices(n_columns)[side]]), F.col("pair"))
+
+
 def pairwise_correlation(
     df: DataFrame, columns: list[str], by: str = "label", digits: int = 6
 ) -> DataFrame:
-    """Correlation of each pair of columns in each group; one pass, merged before the shuffle.
+    """Correlation of each pair of columns in each group, from one Gram matrix for each group (:func:`moments`).
 
-    Pairs share the sums of single columns, so there is one sum of products for each pair. Rows with
-    a NULL in any of the columns are left out; a pair with a constant column has no correlation.
+    A pair with a constant column has no correlation.
     """
-    whole = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in columns))
-    places = range(len(columns))
-    pairs = list(combinations(places, 2))
-    singles = [f"sum(`{c}`) AS s{i}" for i, c in enumerate(columns)]
-    products = [f"sum(`{columns[i]}` * `{columns[j]}`) AS p{i}_{j}" for i, j in [*pairs, *((i, i) for i in places)]]
-    sums = whole.groupBy(by).agg(*map(F.expr, ["count(1) AS n", *singles, *products]))
-    spread = "(n * p{0}_{0} - s{0} * s{0})"
-    rows = ", ".join(
-        f"'{columns[i]}', '{columns[j]}', round((n * p{i}_{j} - s{i} * s{j}) / "
-        f"nullif(sqrt({spread.format(i)} * {spread.format(j)}), 0D), {digits})"
-        for i, j in pairs
+    size, names = len(columns), F.lit(columns)
+    diagonal = F.lit([i * size - i * (i - 1) // 2 for i in range(size)])
+    # What rounding leaves of the spread of a constant.
+    rest = lambda i: F.lit(1e-28) * F.col("n") * F.get("mean", i) * F.get("mean", i)
+    spread = lambda i: F.when(F.get("gram", F.get(diagonal, i)) > rest(i), F.get("gram", F.get(diagonal, i)))
+    first, second = _member(size, 0), _member(size, 1)
+    pairs = moments(df, columns, by).select("*", F.posexplode("gram").alias("pair", "sum")).where(first < second)
+    return pairs.select(
+        by,
+        F.get(names, first).alias("column_a"),
+        F.get(names, second).alias("column_b"),
+        F.round(F.col("sum") / (F.sqrt(spread(first)) * F.sqrt(spread(second))), digits).alias("correlation"),
     )
-    return sums.selectExpr(by, f"stack({len(pairs)}, {rows}) AS (column_a, column_b, correlation)")

@@ -15,14 +15,14 @@ def row_bytes(df: DataFrame) -> int:
     return 8 + sum(8 if isinstance(f.dataType, fixed) else TEXT_BYTES for f in df.schema.fields)
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` takes at most ``max_bytes``: a count that reads no column it does not need."""
-    return df.count() * row_bytes(df) <= max_bytes
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, rows: int | None = None) -> bool:
+    """Whether ``df`` takes at most ``max_bytes``: by its ``rows``, or a count that reads no column it does not need."""
+    return (df.count() if rows is None else rows) * row_bytes(df) <= max_bytes
 
 
 def join_measured(
-    big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_BYTES
+    big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_BYTES, rows: int | None = None
 ) -> DataFrame:
     """Broadcast ``small`` if it was measured and fits; beyond that the join is left to the optimiser."""
-    side = F.broadcast(small) if fits_broadcast(small, max_bytes) else small
+    side = F.broadcast(small) if fits_broadcast(small, max_bytes, rows) else small
     return big.join(side, on, how)

@@ -39,9 +39,13 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_transactions(events: DataFrame, vectors: DataFrame, first_ts: Column) -> DataFrame:
     """Transactions from event rows, batch or stream; ``first_ts`` is where time starts.
 
-    The number of vectors is one count, answered from file metadata.
+    Vectors are numbered from 0 without a gap, or there would be events without features: an error.
     """
-    modulus = max(1, vectors.count())
+    vector_id = F.col("vector_id")
+    n_vectors, low, high = vectors.agg(F.count(F.lit(1)), F.min(vector_id), F.max(vector_id)).first()
+    if n_vectors and (low, high) != (0, n_vectors - 1):
+        raise ValueError(f"{n_vectors} vectors are numbered from {low} to {high}")
+    modulus = max(1, n_vectors)
     base = events.select(
         F.col("event_id").alias("id"),
         whole_seconds(F.col("ts") - first_ts).cast("int").alias("time"),
@@ -52,7 +56,7 @@ def with_transactions(events: DataFrame, vectors: DataFrame, first_ts: Column) -
         f"CASE WHEN pca0 + pca1 > {LABEL_SUM}D AND amountRange >= {LABEL_AMOUNT_RANGE} "
         "THEN 1 ELSE 0 END AS label"
     )
-    joined = join_measured(base, vectors, "vector_id")
+    joined = join_measured(base, vectors, "vector_id", rows=n_vectors)
     return joined.selectExpr("id", "time", "amountRange", *FEATURES, label)
 
 

@@ -1,14 +1,21 @@
-"""Scoring requests and responses as JSON columns."""
+"""Scoring requests and responses as JSON columns.
+
+``respond`` and ``respond_with_udf`` trust their requests. ``respond_checked`` holds every record against the input contract
+of the model first: a field that is missing, null or of another kind is named in the answer, and its record gets no
+prediction.
+"""
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.features import FEATURE_COUNT, feature_names, quoted
+from ..functions.features import FEATURE_COUNT, feature_names, quoted, rename_fields
 from ..operators.numbering import with_batches
 
 # The field names of a request and of a response.
@@ -34,6 +41,18 @@ def build_requests(
     return placed.groupBy("request_id").agg(rows.alias("_rows")).selectExpr("request_id", body)
 
 
+def bundle_records(
+    df: DataFrame, record: Column, records_per_request: int = 100, key: str = "id"
+) -> DataFrame:
+    """Requests of records that are JSON already, whatever they hold, cut as by :func:`build_requests`."""
+    placed = with_batches(
+        df.select(key, record.alias("_record")), [key], records_per_request, "request_id", "_place"
+    )
+    rows = F.expr("array_sort(collect_list(struct(_place, _record AS r)))")
+    body = f"concat('{{\"{RECORDS}\":[', array_join(transform(_rows, row -> row.r), ','), ']}}') AS body"
+    return placed.groupBy("request_id").agg(rows.alias("_rows")).selectExpr("request_id", body)
+
+
 def _records(style: str) -> Column:
     return F.from_json("body", request_schema(style)).getField(RECORDS)
 
@@ -86,3 +105,84 @@ def respond_with_udf(requests: DataFrame, udf, style: str = "flattened") -> Data
     grouped = scored.groupBy("request_id").agg(F.bool_or("_valid").alias("_valid"), rows.alias("_rows"))
     response = f"to_json(named_struct('{PREDICTIONS}', transform(_rows, row -> row.p)))"
     return grouped.selectExpr("request_id", f"CASE WHEN _valid THEN {response} END AS response")
+
+
+# Kinds of JSON values that a column of a contract takes, by the type of the column.
+_KINDS = {
+    "double": "(?:DOUBLE|FLOAT|DECIMAL|BIGINT)",
+    "float": "(?:DOUBLE|FLOAT|DECIMAL|BIGINT)",
+    "bigint": "BIGINT",
+    "string": "STRING",
+    "boolean": "BOOLEAN",
+}
+
+
+def _checked(signature: str, style: str) -> tuple[list[str], str]:
+    """The names of a contract and, for a record ``r``, a struct of its values and of what is wrong with it.
+
+    One look at the record's own schema settles the records that fit; only others are taken apart field by field.
+    """
+    contract = T.StructType.fromJson(json.loads(signature))
+    names = rename_fields(contract.names, style)
+    kinds = [f.dataType.simpleString() for f in contract.fields]
+    fits, values, faults = [], [], ["CASE WHEN NOT startswith(x.schema, 'OBJECT') THEN 'is no object' END"]
+    for own, name, kind in zip(contract.names, names, kinds):
+        at = f"x.r, '$[\"{name}\"]'"
+        found = f"schema_of_variant(variant_get({at}, 'variant'))"
+        # Other types are what a cast from the JSON value gives.
+        other = f"NOT rlike({found}, '^{_KINDS[kind]}')" if kind in _KINDS else "false"
+        values.append(f"try_variant_get({at}, '{kind}') AS `{own}`")
+        faults.append(
+            f"CASE WHEN NOT startswith(x.schema, 'OBJECT') THEN NULL "
+            f"WHEN {found} IS NULL THEN '{name} is missing' WHEN {found} = 'VOID' THEN '{name} is null' "
+            f"WHEN {other} OR try_variant_get({at}, '{kind}') IS NULL THEN concat('{name} is ', lower({found})) END"
+        )
+        fits.append((name, f"`?{re.escape(name)}`?: {_KINDS.get(kind, '(?!)')}"))
+    # Fields of a schema are in order of their names; a nested object could have fields of the same names.
+    # Each part takes its first place and gives none back, so a record that does not fit costs one pass as well.
+    pattern = "^OBJECT<" + "".join(f"(?>.*?{fit})" for _, fit in sorted(fits))
+    quick = f"rlike(x.schema, r'{pattern}') AND locate('OBJECT<', x.schema, 2) = 0"
+    asked = ", ".join(f"`{n}`: {k}" for n, k in zip(names, kinds))
+    given = ", ".join(f"`{n}`: {k}" for n, k in zip(contract.names, kinds))
+    whole = f"CAST(try_variant_get(x.r, '$', 'struct<{asked}>') AS struct<{given}>)"
+    fault = f"nullif(array_join(array({', '.join(faults)}), ', '), '')"
+    slow = f"named_struct('record', struct({', '.join(values)}), 'fault', {fault})"
+    fast = f"named_struct('record', {whole}, 'fault', CAST(NULL AS STRING))"
+    seen = "array(named_struct('r', r, 'schema', schema_of_variant(r)))"
+    return contract.names, f"transform({seen}, x -> CASE WHEN {quick} THEN {fast} ELSE {slow} END)[0]"
+
+
+def _opened(requests: DataFrame, signature: str, style: str) -> tuple[DataFrame, list[str]]:
+    names, checked = _checked(signature, style)
+    records = F.try_variant_get(F.try_parse_json("body"), f"$.{RECORDS}", "array<variant>")
+    opened = requests.select("request_id", records.alias("_variants"))
+    return opened.selectExpr("request_id", f"transform(_variants, r -> {checked}) AS _records"), names
+
+
+def check_records(requests: DataFrame, signature: str, style: str = "flattened") -> DataFrame:
+    """One row for each record: request_id, position, the columns of the contract, and ``error``, null for a record that fits.
+
+    ``signature`` is the stored contract of a model. Fields beyond it are left out, the order of fields is free.
+    A body that is not a request has no rows.
+    """
+    opened, names = _opened(requests, signature, style)
+    rows = opened.select("request_id", F.posexplode("_records").alias("position", "r"))
+    return rows.select("request_id", "position", *[F.col("r.record").getField(n).alias(n) for n in names], F.col("r.fault").alias("error"))
+
+
+def respond_checked(
+    requests: DataFrame, signature: str, score_sql: Callable[..., str], style: str = "flattened"
+) -> DataFrame:
+    """As :func:`respond` under the contract of a model: ``{"predictions":[..],"errors":[..]}``.
+
+    A record that breaks the contract is never scored: its prediction is null, and ``errors`` names its place and what is
+    wrong. ``errors`` is absent when there are none. A body that is not a request gets a NULL response. ``score_sql`` gets
+    the SQL names of the contract's columns in order.
+    """
+    opened, names = _opened(requests, signature, style)
+    score = score_sql(*[f"r.record.`{n}`" for n in names])
+    predictions = f"transform(_records, r -> CASE WHEN r.fault IS NULL THEN {score} END)"
+    told = "transform(_records, (r, i) -> CASE WHEN r.fault IS NOT NULL THEN concat('record ', i, ': ', r.fault) END)"
+    errors = f"CASE WHEN exists(_records, r -> r.fault IS NOT NULL) THEN array_compact({told}) END"
+    response = f"to_json(named_struct('{PREDICTIONS}', {predictions}, 'errors', {errors}))"
+    return opened.selectExpr("request_id", f"CASE WHEN _records IS NOT NULL THEN {response} END AS response")

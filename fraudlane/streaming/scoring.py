@@ -57,7 +57,10 @@ def upsert_scores(
         cells = to_cells(batch, list(qualifiers), stamp_us(batch_id))
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         owner = f"{writer}_{query_id.replace('-', '')}"
-        KeyedStore(batch.sparkSession, store.table).write(cells, batch_id, owner)
+        target = KeyedStore(batch.sparkSession, store.table)
+        # A micro-batch that is run again after its cells were merged has nothing to add.
+        if not target.merged(owner, batch_id):
+            target.write(cells, batch_id, owner)
 
     return (
         scored.writeStream.foreachBatch(write)

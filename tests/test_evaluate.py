@@ -87,3 +87,26 @@ def test_correlation_of_lines(spark):
     df = spark.createDataFrame([(0, float(i), 2.0 * i, -float(i)) for i in range(5)], "label int, a double, b double, c double")
     got = {(r["column_a"], r["column_b"]): r["correlation"] for r in explore.pairwise_correlation(df, ["a", "b", "c"]).collect()}
     assert got == {("a", "b"): 1.0, ("a", "c"): -1.0, ("b", "c"): -1.0}
+
+
+def test_correlation_keeps_its_digits_far_from_zero(spark):
+    """Means near 1e9 with a spread of one, hot and small groups, a NULL group, a constant."""
+    import numpy as np
+
+    pick = np.random.default_rng(4)
+    x = pick.normal(size=(3000, 3)) @ np.array([[1, 0.5, 0], [0, 1, 0.2], [0, 0, 1]]) + 1e9
+    groups = [None if i % 100 == 7 else int(i % 3 == 0) for i in range(3000)]
+    data = [(g, *map(float, r), 0.1) for g, r in zip(groups, x)] + [(0, None, 1.0, 1.0, 1.0), (1, float("nan"), 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(data, "label int, a double, b double, c double, d double").repartition(11)
+    got = {(r["label"], r["column_a"], r["column_b"]): r["correlation"] for r in explore.pairwise_correlation(df, list("abcd"), digits=9).collect()}
+    assert len(got) == 3 * 6
+    for group in (0, 1, None):
+        own = np.array([r for g, r in zip(groups, x) if g == group]) - 1e9
+        want = np.corrcoef(own.T)
+        for i, j in ((0, 1), (0, 2), (1, 2)):
+            assert abs(got[group, "abc"[i], "abc"[j]] - want[i, j]) < 1e-6
+        assert got[group, "a", "d"] is None
+
+
+def test_correlation_of_nothing(spark):
+    assert explore.pairwise_correlation(spark.createDataFrame([], "label int, a double, b double"), ["a", "b"]).count() == 0

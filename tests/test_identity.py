@@ -1,0 +1,81 @@
+import pytest
+from pyspark.sql import functions as F
+
+from fraudlane.sources.identity import IdentityTable
+
+COLUMNS = "name string, size int"
+
+
+def rows(spark, *values):
+    return spark.createDataFrame(list(values), COLUMNS)
+
+
+@pytest.fixture
+def table(spark):
+    return IdentityTable.create(spark, COLUMNS)
+
+
+def stored(table):
+    return sorted(map(tuple, table.read().collect()))
+
+
+def test_ids_go_on(spark, table):
+    assert table.read().count() == 0 and table.mark() == (0, 0)
+    assert table.append(rows(spark, ("b", 2), ("a", 1)), "first")
+    assert table.append(rows(spark, ("a", 0)), "second")
+    assert stored(table) == [(1, "a", 1), (2, "b", 2), (3, "a", 0)]
+    assert table.mark() == (3, 2)
+
+
+def test_a_repeated_append_is_recognised(spark, table):
+    assert table.append(rows(spark, ("a", 1)), "load 1")
+    assert not table.append(rows(spark, ("z", 9)), "load 1")
+    assert stored(table) == [(1, "a", 1)]
+
+
+def test_an_append_that_failed_leaves_nothing_and_may_run_again(spark, table, monkeypatch):
+    table.append(rows(spark, ("a", 1)), "first")
+    with monkeypatch.context() as broken:
+        broken.setattr(table._log, "append", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.append(rows(spark, ("b", 2)), "second")
+    assert stored(table) == [(1, "a", 1)]
+    assert table.append(rows(spark, ("b", 2)), "second")
+    assert stored(table) == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_a_taken_number_is_not_taken_again(spark, table):
+    other = IdentityTable(spark, table.root, COLUMNS)
+    # The other writer appends between this one's look at the mark and its claim.
+    look, seen = table.mark, []
+
+    def late_look():
+        mark = look()
+        if not seen:
+            seen.append(other.append(rows(spark, ("o", 0)), "other"))
+        return mark
+
+    table.mark = late_look
+    assert table.append(rows(spark, ("m", 1), ("n", 2)), "mine") and seen == [True]
+    assert stored(table) == [(1, "o", 0), (2, "m", 1), (3, "n", 2)]
+
+
+def test_empty_nulls_copies_and_types(spark, table):
+    assert table.append(rows(spark), "nothing") and table.mark() == (0, 1)
+    wide = spark.createDataFrame([("5", None, 1), ("5", None, 1), (None, "x", 1)], "size string, name string, extra int")
+    assert table.append(wide, "odd")
+    assert sorted(r[0] for r in stored(table)) == [1, 2, 3]
+    assert [f.dataType.simpleString() for f in table.read().schema] == ["bigint", "string", "int"]
+
+
+def test_numbers_depend_on_content_only(spark, txn):
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in txn.drop("id").schema)
+    made = []
+    for parts in (1, 7):
+        table = IdentityTable.create(spark, columns)
+        table.append(txn.where("label = 0").drop("id").repartition(parts), "a")
+        table.append(txn.where("label = 1").drop("id").repartition(parts), "b")
+        made.append(table.read())
+    assert made[0].exceptAll(made[1]).count() == 0
+    ids = made[0].agg(F.min("id"), F.max("id"), F.count_distinct("id")).first()
+    assert tuple(ids) == (1, txn.count(), txn.count())

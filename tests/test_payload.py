@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from fraudlane.functions import scoring
+from fraudlane.functions import features, scoring
 from fraudlane.functions.features import FEATURES, feature_names
 from fraudlane.sources import payload
 
@@ -80,3 +80,70 @@ def test_requests_stay_small_under_one_hot_key(txn):
     hot = txn.withColumn("id", F.lit(1).cast("long"))
     counts = payload.build_requests(hot, 100).select(F.from_json("body", payload.request_schema()).alias("b"))
     assert counts.agg(F.max(F.size("b.dataframe_records"))).first()[0] == 100
+
+
+def _checked(spark, *records):
+    body = json.dumps({"dataframe_records": list(records)})
+    df = spark.createDataFrame([(1, body)], "request_id long, body string")
+    return df, json.loads(payload.respond_checked(df, SIGNATURE, _votes).first()["response"])
+
+
+SIGNATURE = features.feature_signature()
+
+
+def _record(**changes):
+    record = dict.fromkeys(feature_names("flattened"), 0.3) | changes
+    return {k: v for k, v in record.items() if v != "gone"}
+
+
+def test_a_record_that_fits_is_answered_as_before(spark, requests):
+    checked = payload.respond_checked(requests, SIGNATURE, _votes)
+    assert checked.exceptAll(payload.respond(requests, _votes)).count() == 0 and checked.count() == requests.count()
+
+
+@pytest.mark.parametrize(
+    "changes, fault",
+    [
+        ({"pca[3]": "gone"}, "pca[3] is missing"),
+        ({"pca[3]": None}, "pca[3] is null"),
+        ({"pca[3]": "0.5"}, "pca[3] is string"),
+        ({"pca[3]": True}, "pca[3] is boolean"),
+        ({"pca[3]": [1]}, "pca[3] is array<bigint>"),
+        ({"pca[0]": "gone", "pca[27]": None}, "pca[0] is missing, pca[27] is null"),
+        ({"other": 1, "pca[3]": 1}, None),
+        ({"pca[3]": 10**30}, None),
+    ],
+)
+def test_faults_are_named_and_never_scored(spark, changes, fault):
+    df, answer = _checked(spark, _record(), _record(**changes), _record())
+    assert answer["predictions"] == [1, None if fault else 1, 1]
+    assert answer.get("errors") == ([f"record 1: {fault}"] if fault else None)
+    rows = {r["position"]: r["error"] for r in payload.check_records(df, SIGNATURE).collect()}
+    assert rows == {0: None, 1: fault, 2: None}
+
+
+def test_records_that_are_no_objects(spark):
+    _, answer = _checked(spark, 7, None, _record())
+    assert answer == {"predictions": [None, None, 1], "errors": ["record 0: is no object", "record 1: is no object"]}
+
+
+def test_other_types_of_a_contract(spark):
+    signature = features.signature_of(spark.createDataFrame([], "id long, name string, flag boolean, x float"))
+    body = '{"dataframe_records":[{"id":5,"name":"a","flag":true,"x":1},{"id":5.5,"name":1,"flag":"true","x":2.5},{"x":1e400}]}'
+    df = spark.createDataFrame([(1, body)], "request_id long, body string")
+    rows = payload.check_records(df, signature).orderBy("position").collect()
+    assert tuple(rows[0])[2:] == (5, "a", True, 1.0, None) and rows[0].asDict()["id"] == 5
+    assert rows[1]["error"].startswith("id is decimal(2,1), name is bigint, flag is string")
+
+
+def test_odd_bodies_under_a_contract(spark):
+    bodies = [(1, "not json"), (2, '{"dataframe_records":[]}'), (3, '{"something":1}'), (4, '{"dataframe_records":5}'), (5, None)]
+    df = spark.createDataFrame(bodies, "request_id long, body string")
+    got = {r["request_id"]: r["response"] for r in payload.respond_checked(df, SIGNATURE, _votes).collect()}
+    assert got == {1: None, 2: '{"predictions":[]}', 3: None, 4: None, 5: None}
+    assert payload.check_records(df, SIGNATURE).count() == 0
+
+
+def test_checked_response_needs_no_shuffle(spark, requests, plan_of):
+    stored = spark.createDataFrame(requests.limit(3).collect(), requests.schema)
+    assert "Exchange" not in plan_of(payload.respond_checked(stored, SIGNATURE, _votes), "simple")

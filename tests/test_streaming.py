@@ -68,3 +68,33 @@ def test_scores_under_another_rule(spark, txn, landing):
         _stream(spark, txn, landing), output, scratch_path(spark, "state"), F.lit(1.0)
     ).awaitTermination()
     assert spark.read.parquet(output).agg(F.sum("prediction")).first()[0] == 500
+
+
+def test_compaction_between_micro_batches_loses_nothing(spark, txn, landing, database):
+    store = KeyedStore.create(spark, f"{database}.cells")
+    state = scratch_path(spark, "state")
+    source = streams.stream_parquet(spark, landing, txn.schema, files_per_trigger=1)
+    stream = streams.upsert_scores(source, store, state, lambda batch: 1000 + batch)
+    while stream.isActive:
+        store.compact(fan=2)
+    stream.awaitTermination()
+    store.compact()
+    store.vacuum()
+    streams.upsert_scores(source, store, state, lambda batch: 1000 + batch).awaitTermination()
+    got = store.rows(["prediction", "time", "amountRange"])
+    want = medallion.gold_rows(txn.where("id < 500"))
+    ids = got.selectExpr("cast(row_key AS long) AS id", "cast(time AS int) AS time", "cast(amountRange AS int) AS amountRange", "cast(prediction AS int) AS prediction")
+    assert ids.exceptAll(want).count() == 0 and ids.count() == 500
+
+
+def test_a_merged_micro_batch_that_runs_again_adds_nothing(spark, txn, landing, database):
+    store = KeyedStore.create(spark, f"{database}.cells")
+    source = streams.stream_parquet(spark, landing, txn.schema)
+    state = scratch_path(spark, "state")
+    streams.upsert_scores(source, store, state, lambda batch: 1000).awaitTermination()
+    store.write(to_cells(medallion.gold_rows(txn.where("id < 500")), ["prediction"], 2000), 1)
+    store.compact()
+    before = store.cells().count()
+    owner = store.cells().where("source_writer LIKE 'stream%'").select("source_writer").first()[0]
+    assert store.merged(owner, 0) and not store.merged(owner, 1)
+    assert store.cells().count() == before == 1500

@@ -197,3 +197,70 @@ def test_lifecycle_of_tables_used_by_runs(spark, database):
 )
 def test_partitions_grow_with_the_rows(rows, partitions):
     assert training.partitions_for(rows) == partitions
+
+
+def test_writers_at_the_same_time_never_share_a_version(spark, database):
+    from threading import Thread
+
+    versions = runs.ModelVersions.create(spark, f"{database}.stages")
+    given = []
+
+    def register(writer):
+        for i in range(4):
+            given.append((writer, i, versions.register("m", f"{writer}_{i}")))
+
+    writers = [Thread(target=register, args=(w,)) for w in ("one", "two", "three")]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    rows = runs.numbered_versions(versions.events()).collect()
+    assert sorted(r["version"] for r in rows) == list(range(1, 13))
+    assert {r["registration"]: r["run_key"] for r in rows} == {v.registration: f"{w}_{i}" for w, i, v in given}
+    # A promotion follows the registration whatever number it has by now.
+    writer, i, version = given[3]
+    versions.promote("m", version)
+    assert versions.production().first()["run_key"] == f"{writer}_{i}"
+
+
+def test_registrations_of_ordered_runs(spark, database):
+    rows = [("m", 1, "a", 10.0), ("m", 2, "b", 10.0), ("m", 3, "c", 30.0), ("m", 4, "d", 20.0), ("n", 1, "x", 5.0)]
+    versions = runs.ModelVersions.create(spark, f"{database}.stages")
+    versions.append(runs.ordered_registrations(spark.createDataFrame(rows, "model string, run_no int, run_key string, f1_score double")))
+    stages = {(r["model"], r["version"]): (r["run_key"], r["stage"]) for r in versions.current().collect()}
+    assert stages == {
+        ("m", 1): ("a", "Archived"), ("m", 2): ("b", "None"), ("m", 3): ("c", "Production"), ("m", 4): ("d", "None"),
+        ("n", 1): ("x", "Production"),
+    }
+
+
+def test_the_stored_example_is_scored_on_load(spark, model, train, parts):
+    path = training.save_model(model, example=parts["test"])
+    example = training.model_example(spark, path).first()
+    lowest = parts["test"].orderBy(*FEATURES).select(*FEATURES).first()
+    assert tuple(example)[:28] == tuple(lowest)
+    training.check_example(spark, path, training.load_model(path))
+    assert training.predict_stored(spark, path, parts["test"], ["id"]).count() == parts["test"].count()
+    broken = training.model_example(spark, path).withColumn("prediction", 1 - F.col("prediction"))
+    kept = broken.collect()
+    spark.createDataFrame(kept, broken.schema).coalesce(1).write.mode("overwrite").json(f"{path}/{training.EXAMPLE_FILE}")
+    with pytest.raises(ValueError, match="example"):
+        training.predict_stored(spark, path, parts["test"], ["id"])
+    bare = training.save_model(model)
+    assert training.model_example(spark, bare).count() == 0
+
+
+def test_likelihood_of_a_regression_forest(train, parts):
+    model = training.fit_likelihood(train)
+    scored = training.likelihood(model, parts["test"])
+    errors = training.likelihood_errors(scored).first()
+    own = [(r["likelihood"], r["label"]) for r in scored.select("likelihood", "label").collect()]
+    assert errors["n_rows"] == len(own) and all(0 <= p <= 1 for p, _ in own)
+    assert errors["squared_error"] == pytest.approx(sum((p - y) ** 2 for p, y in own) / len(own))
+    share = sum(y for _, y in own) / len(own)
+    assert errors["baseline_error"] == pytest.approx(share * (1 - share))
+    bins = {r["score_bin"]: tuple(r)[1:] for r in training.calibration(scored).collect()}
+    for place, (n, mean, positive) in bins.items():
+        mine = [(p, y) for p, y in own if min(9, int(p * 10)) == place]
+        assert n == len(mine)
+        assert (mean, positive) == pytest.approx((sum(p for p, _ in mine) / n, sum(y for _, y in mine) / n))
