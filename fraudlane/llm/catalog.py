@@ -43,7 +43,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85).drop("fp")
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85).drop("fp", "component")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudlane.llm import text_arrays as ta
 from fraudlane.scratch import materialise, unique_name
@@ -162,31 +163,57 @@ def _emit_clean_rows(part: pa.RecordBatch, words: ta.Words, hits) -> pa.RecordBa
     return part.filter(pa.array(clean))
 
 
-def _emit_cut_text(part: pa.RecordBatch, words: ta.Words, hits) -> pa.RecordBatch:
-    """Cuts from the first hit word to the last of each covered stretch, and one space if two words would meet."""
-    at = part.schema.get_field_index("text")
-    column = part.column(at)
-    raw, places = ta.text_buffer(column)
-    found = by_text(words, hits)
-    texts = column.to_pylist()
-    for d, own in found.items():
-        spans = covered([x for h in own for x in h[:2]])
-        base, left, pieces = int(words.bounds[d]), int(places[d]), []
-        for a, b in zip(spans[::2], spans[1::2], strict=True):
-            pieces.append(raw[left : words.starts[base + a]].tobytes())
-            left = int(words.ends[base + b - 1])
-        pieces.append(raw[left : places[d + 1]].tobytes())
-        texts[d] = b"".join(pieces).decode()
-    return part.set_column(at, part.schema.field(at), pa.array(texts, column.type))
+def _emit_spans(name: str):
+    """Adds this block's spans to those of earlier blocks, in the column ``name``."""
+
+    def emit(part: pa.RecordBatch, words: ta.Words, hits) -> pa.RecordBatch:
+        found = by_text(words, hits)
+        before = part.column(name).to_pylist() if name in part.schema.names else [[]] * part.num_rows
+        spans = [covered([*old, *(x for h in found.get(d, ()) for x in h[:2])]) for d, old in enumerate(before)]
+        column = pa.array(spans, pa.list_(pa.int64()))
+        if name in part.schema.names:
+            return part.set_column(part.schema.get_field_index(name), name, column)
+        return part.append_column(name, column)
+
+    return emit
+
+
+def _emit_cut_text(name: str):
+    """Cuts from the first hit word to the last of each stretch that all blocks together cover, and one space if two words would meet."""
+    add = _emit_spans(name)
+
+    def emit(part: pa.RecordBatch, words: ta.Words, hits) -> pa.RecordBatch:
+        part = add(part, words, hits)
+        own = part.column(name).to_pylist()
+        part = part.remove_column(part.schema.get_field_index(name))
+        at = part.schema.get_field_index("text")
+        column = part.column(at)
+        raw, places = ta.text_buffer(column)
+        texts = column.to_pylist()
+        for d, spans in enumerate(own):
+            if not spans:
+                continue
+            base, left, pieces = int(words.bounds[d]), int(places[d]), []
+            for a, b in zip(spans[::2], spans[1::2], strict=True):
+                pieces.append(raw[left : words.starts[base + a]].tobytes())
+                left = int(words.ends[base + b - 1])
+            pieces.append(raw[left : places[d + 1]].tobytes())
+            texts[d] = b"".join(pieces).decode()
+        return part.set_column(at, part.schema.field(at), pa.array(texts, column.type))
+
+    return emit
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[tuple[bool, list[tuple[str | None, str]]]]:
-    """(is the last, items) for each block of about ``BLOCK_BYTES``, fetched when its pass begins."""
-    items = benchmark.select(F.col("item_id").cast("string"), "text").where("text IS NOT NULL")
+    """(is the last, items) for each block of about ``BLOCK_BYTES``, fetched when its pass begins.
+
+    Equal rows count once, and copies of one text under many ids are dealt to all blocks.
+    """
+    items = benchmark.select(F.col("item_id").cast("string"), "text").where("text IS NOT NULL").distinct()
     n_bytes = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-n_bytes // BLOCK_BYTES))
     for k in range(n):
-        block = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k) if n > 1 else items
+        block = items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(n)) == k) if n > 1 else items
         yield k == n - 1, [tuple(r) for r in block.collect()]
 
 
@@ -205,13 +232,16 @@ def scan_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, mode: str = "document") -> DataFrame:
     """``docs`` without contaminated rows, or with mode "span" without the hit words only; all columns stay.
 
-    Hits are those of the text as it comes in, whatever the number of blocks: a cut is made only after all blocks
-    were searched when documents are dropped, and block by block for spans, where a later block sees shorter text.
+    Hits are those of the text as it comes in, whatever the number of blocks: spans are gathered over all blocks and cut
+    once, at the end.
     """
-    emit = {"document": _emit_clean_rows, "span": _emit_cut_text}[mode]
-    context = docs.sparkSession.sparkContext
+    name = unique_name("spans")
+    emit = {"document": _emit_clean_rows, "span": _emit_spans(name)}[mode]
+    spans = [T.StructField(name, T.ArrayType(T.LongType()))] if mode == "span" else []
+    schema = T.StructType([*docs.schema.fields, *spans])
+    context, kept = docs.sparkSession.sparkContext, docs.schema
     for last, items in _blocks(benchmark):
-        docs = docs.mapInArrow(_scanner(context.broadcast(items), window, emit), docs.schema)
-        if not last:
-            docs = materialise(docs, "decontaminated")
-    return docs
+        block = context.broadcast(items)
+        if last:
+            return docs.mapInArrow(_scanner(block, window, _emit_cut_text(name) if mode == "span" else emit), kept)
+        docs = materialise(docs.mapInArrow(_scanner(block, window, emit), schema), "decontaminated")

@@ -150,15 +150,25 @@ def split_quotas(quotas: DataFrame, shards: int) -> DataFrame:
     return each.withColumn("offset", F.coalesce(F.sum("quota").over(before), F.lit(0)))
 
 
-def mix_sources(
+def mix_sources(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_repeat: int = MAX_REPEAT, **more) -> DataFrame:
+    """The mix alone, see :func:`mix_and_shards`."""
+    return mix_and_shards(docs, weights, budget, max_repeat, **more)[0]
+
+
+def mix_in_order(docs: DataFrame, carry: tuple[str, ...], **more) -> DataFrame:
+    """The columns ``carry`` of each draw of the mix, shard by shard in order, see :func:`write_order`."""
+    return write_order(*mix_and_shards(docs, carry=carry, **more))
+
+
+def mix_and_shards(
     docs: DataFrame,
     weights=WEIGHTS,
     budget: float = BUDGET,
     max_repeat: int = MAX_REPEAT,
     shard_words: int = SHARD_WORDS,
     carry: tuple[str, ...] = (),
-) -> DataFrame:
-    """The mix: for every row of ``docs`` (doc_id, text, source) its size, its source's size and target, and its draws.
+) -> tuple[DataFrame, int]:
+    """The mix and its number of shards: for every row of ``docs`` (doc_id, text, source) its size, its source's size and target, and its draws.
 
     ``draws`` has (copy, shard, place) for each time the mix takes the document: write shard by shard, ordered by place.
     There is a power of two of shards, so many that one has at most ``shard_words`` on average. ``own`` holds the columns
@@ -210,15 +220,19 @@ def mix_sources(
         F.filter("homes", lambda x: x["copy"] <= F.col("times")),
         lambda x: F.struct(x["copy"].alias("copy"), x["shard"].alias("shard"), F.xxhash64(F.lit(SEED), F.col("key"), x["copy"]).alias("place")),
     )
-    return full.withColumn("times", times).select(
+    mix = full.withColumn("times", times).select(
         "doc_id", "size", "source_size", "target", F.coalesce(place, F.array().cast("array<struct<copy:bigint,shard:int,place:bigint>>")).alias("draws"), *(["own"] if carry else [])
     )
+    return mix, shards
+
 
+def write_order(mix: DataFrame, shards: int | None = None) -> DataFrame:
+    """One row for each draw: the carried columns, copy and shard; a shard is one partition, ordered by place.
 
-def write_order(mix: DataFrame) -> DataFrame:
-    """One row for each draw: the carried columns, copy and shard; a shard is one partition, ordered by place."""
+    Without the number of shards it is counted, which computes the mix a first time.
+    """
+    if shards is None:
+        shards = mix.select(F.explode("draws.shard").alias("shard")).agg(F.max("shard") + 1).first()[0] or 1
     each = mix.select("own.*", F.explode("draws").alias("draw"))
     each = each.select(*mix.select("own.*").columns, "draw.copy", "draw.shard", "draw.place")
-    n = F.max("shard") + 1
-    shards = mix.select(F.explode("draws.shard").alias("shard")).agg(n).first()[0] or 1
-    return each.repartition(shards, "shard").sortWithinPartitions("shard", "place").drop("place")
+    return each.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("place").drop("place")

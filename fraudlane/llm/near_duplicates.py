@@ -20,6 +20,7 @@ an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from fraudlane.llm import text_arrays as ta
 from fraudlane.llm.linking import link_classes
 from fraudlane.scratch import materialise
 
-LANES = 64
+LANES, LONG_WORD = 64, 256
 _NO_ID = -(1 << 63)
 MAX_DISTANCE = 20
 CHUNKS = [(6 * i, 6, 1) for i in range(10)] + [(60, 4, 0)]
@@ -41,9 +42,37 @@ _XOR = _RANDOM.integers(0, 1 << 63, LANES, dtype=np.uint64)
 _ODD = _RANDOM.integers(0, 1 << 63, LANES, dtype=np.uint64) | np.uint64(1)
 
 
+def word_hashes(words: ta.Words) -> np.ndarray:
+    """Hashes of words; of long ones by BLAKE2b, since long words are known that collide under any polynomial modulo 2**64."""
+    hashes = words.hashes()
+    for i in np.flatnonzero(words.ends - words.starts > LONG_WORD):
+        digest = blake2b(words.buffer[words.starts[i] : words.ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
+
+
+def sequence_hashes(words: ta.Words) -> np.ndarray:
+    """BLAKE2b of the words of each text, one space between them."""
+    n = len(words.starts)
+    edge = np.zeros(len(words.buffer) + 1, dtype=np.int8)
+    edge[words.starts] += 1
+    edge[words.ends] -= 1
+    inside = np.cumsum(edge[:-1]).astype(bool)
+    # Each word with one byte after it, which no word has.
+    size = words.ends - words.starts + 1
+    ends = np.concatenate([[0], np.cumsum(size)])
+    packed = np.full(int(ends[-1]), 0x20, dtype=np.uint8)
+    held = np.ones(len(packed), dtype=bool)
+    held[ends[1:] - 1] = False
+    packed[held] = words.buffer[inside]
+    raw, bounds = memoryview(packed), ends[words.bounds] if n else np.zeros(len(words.bounds), dtype=np.int64)
+    digests = [blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    return np.frombuffer(b"".join(digests), dtype=np.uint64)
+
+
 def shingles(words: ta.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles and their bounds for each text, repeats included."""
-    hashes = words.hashes()
+    hashes = word_hashes(words)
     first, values = ta.windows(words, hashes, size)
     count = np.diff(words.bounds)
     short = np.flatnonzero((count > 0) & (count < size))
@@ -91,7 +120,7 @@ def _index(size: int):
                 signature = signatures(values, bounds)
                 keys = chunk_keys(signature)
                 # The class is the word sequence, so texts with equal classes need no comparison.
-                node = ta.run_hashes(words.hashes(), words.bounds[:-1], words.bounds[1:])
+                node = sequence_hashes(words)
                 edge = np.arange(len(distinct) + 1)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -142,7 +171,8 @@ def _verified(size: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and a hash of the text, ``fp``, for every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, kept, a hash of the text, ``fp``, and ``component``, a name of the component that
+    does not depend on ids (null without words), for every row of ``docs`` (doc_id, text).
 
     Two documents are linked when 100 * |intersection| >= ``percent`` * |union| of their shingle sets;
     ``component_id`` is the smallest ``doc_id`` reachable over links.
@@ -173,7 +203,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     least = filled.groupBy("node").agg(F.min(given).alias("least"))
     rooted = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))
-    named = materialise(rooted.join(first, "root").select("node", "first"), "component_ids")
+    named = materialise(rooted.join(first, "root").select("node", "first", F.col("root").alias("component")), "component_ids")
     out = indexed.select(given.alias("doc_id"), "fp", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     return out.join(named, "node", "left").select(
         "doc_id",
@@ -181,12 +211,32 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         F.coalesce("first", "doc_id").alias("component_id"),
         F.coalesce(F.col("first") == F.col("doc_id"), F.lit(True)).alias("kept"),
         "fp",
+        "component",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without rows that are near copies of a document with a smaller id; all columns stay."""
-    gone = near_duplicates(docs, shingle_words, percent).where("NOT kept")
-    gone = materialise(gone.select(F.col("doc_id").alias("_near_id"), F.col("fp").alias("_near_text")).distinct(), "near_copies")
-    same = (docs["doc_id"] == gone["_near_id"]) & (F.xxhash64(docs["text"]) == gone["_near_text"])
-    return docs.join(gone, same, "left_anti")
+    """``docs`` with one row of each component; all columns stay.
+
+    The row with the smallest ``doc_id`` stays, of several with that id the one whose text has the smallest hash, and
+    of equal ones any. A component of rows without an id keeps one of them; null ids come last. Rows without words
+    have no component and stay.
+    """
+    found = near_duplicates(docs, shingle_words, percent).where("n_shingles > 0")
+    # A row is known by its id and the hash of its text; rows that share both are copies.
+    one, key = F.struct(F.col("doc_id").isNull().alias("anon"), "doc_id", "fp"), ["_near_id", "_near_text"]
+    known = materialise(found.groupBy("doc_id", "fp", "component").agg(F.count("*").alias("n")), "near_rows")
+    ranked = known.join(known.groupBy("component").agg(F.min(one).alias("first")), "component")
+    named = [F.coalesce("doc_id", F.lit(_NO_ID)).alias("_near_id"), F.col("fp").alias("_near_text")]
+    gone = materialise(ranked.where(one != F.col("first")).select(*named), "near_copies")
+    repeated = materialise(ranked.where((one == F.col("first")) & (F.col("n") > 1)).select(*named), "near_repeats")
+    own = F.struct(*(docs[c] for c in docs.columns)).alias("_row")
+    rows = docs.select(
+        own, F.coalesce(docs["doc_id"].cast("long"), F.lit(_NO_ID)).alias("_near_id"), F.xxhash64(docs["text"]).alias("_near_text")
+    )
+    left = rows.join(gone, key, "left_anti")
+    if not repeated.isEmpty():
+        # One of each group of copies, by an aggregate that is merged before the shuffle.
+        among = rows.join(repeated, key, "left_semi").groupBy(*key).agg(F.first("_row").alias("_row"))
+        left = left.join(repeated, key, "left_anti").select("_row").unionByName(among.select("_row"))
+    return left.select("_row.*")

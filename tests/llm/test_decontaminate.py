@@ -71,3 +71,23 @@ def test_odd_rows(spark, odd_docs, clashing, no_docs, tables, rows_of):
     nameless = spark.createDataFrame([(None, "漢字漢字")], "item_id long, text string")
     hit = [tuple(r)[2:4] for r in dc.scan_contamination(odd_docs, nameless).where("contaminated").collect()]
     assert hit == [(1, 0)]
+
+
+def test_spans_do_not_depend_on_the_blocks(spark, docs_of, monkeypatch):
+    """Items that overlap in a text are cut together, whichever block each is in."""
+    w = [f"w{i}" for i in range(15)]
+    items = [(1, " ".join(w[:10])), (2, " ".join(w[5:])), (3, " ".join(w[5:]))] + [(10 + i, " ".join(w[:10])) for i in range(30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of([(1, "x " + " ".join(w) + " y"), (2, "x " + " ".join(w[:10]) + " y"), (3, None)])
+    found, seen = set(), set()
+    for block_bytes in (dc.BLOCK_BYTES, 700, 300, 90):
+        monkeypatch.setattr(dc, "BLOCK_BYTES", block_bytes)
+        blocks = [items for _, items in dc._blocks(bench)]
+        seen.add(len(blocks))
+        assert sum(map(len, blocks)) == 33
+        cut = dc.remove_contaminated(docs, bench, mode="span")
+        assert cut.columns == docs.columns
+        found.add(tuple(sorted((r.doc_id, r.text) for r in cut.collect())))
+    assert found == {((1, "x  y"), (2, "x  y"), (3, None))} and len(seen) == 4
+    # Copies of one text are dealt to the blocks.
+    assert max(map(len, blocks)) < 20

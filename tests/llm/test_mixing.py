@@ -88,3 +88,11 @@ def test_odd_rows(odd_docs, clashing, no_docs, rows_of):
     assert rows_of(mixing.mix_sources(clashing)) == rows_of(got)
     assert mixing.mix_sources(no_docs).count() == 0
     assert mixing.write_order(mixing.mix_sources(no_docs, carry=("doc_id",))).count() == 0
+
+
+def test_order_without_a_second_mix(corpus):
+    rows = mixing.mix_in_order(corpus, ("doc_id", "source"), shard_words=3_000)
+    again = mixing.write_order(mixing.mix_sources(corpus, shard_words=3_000, carry=("doc_id", "source")))
+    assert rows.columns == again.columns and rows.exceptAll(again).count() == 0 and rows.count() == again.count()
+    by_part = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("shard").alias("n"), F.min("shard").alias("s")).collect()
+    assert all(r.n == 1 and r.p == r.s for r in by_part)

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from fraudlane.llm import near_duplicates as nd
+from fraudlane.llm import text_arrays as ta
 from fraudlane.llm.linking import connected_components, hamming_lanes
 
 
@@ -61,7 +62,7 @@ def test_odd_rows(odd_docs, clashing, no_docs, rows_of):
     assert rows_of(nd.near_duplicates(clashing)) == rows_of(got)
     assert nd.near_duplicates(no_docs).count() == 0
     left = nd.drop_near_duplicates(clashing)
-    assert left.columns == clashing.columns and left.count() == odd_docs.count() - 1
+    assert left.columns == clashing.columns and left.count() == odd_docs.count() - 2
 
 
 def test_signatures_within_the_distance_share_a_key():
@@ -91,3 +92,38 @@ def test_components(spark, links):
         for a, b in links:
             want[a] = want[b] = min(want[a], want[b])
     assert got == {n: r for n, r in want.items() if n != r}
+
+
+def test_one_row_of_each_component_stays(spark, docs_of, write_prose):
+    same, near = write_prose(1, 200), write_prose(1, 200) + " more."
+    rows = [(None, same), (None, same), (5, same), (5, same), (6, near), (None, write_prose(2, 90)), (None, write_prose(2, 90)), (7, ""), (7, ""), (8, None)]
+    left = sorted((r.doc_id or -1, r.text or "") for r in nd.drop_near_duplicates(docs_of(rows)).collect())
+    assert left == sorted([(5, same), (-1, write_prose(2, 90)), (7, ""), (7, ""), (8, "")])
+    only = docs_of([(None, same), (None, near), (None, same)])
+    assert nd.drop_near_duplicates(only).count() == 1
+
+
+def thue_morse(steps, a, b):
+    for _ in range(steps):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_texts_that_collide_under_polynomials_stay_apart(docs_of):
+    """Words, and sequences of words, that no odd base tells apart modulo 2**64."""
+    letters = thue_morse(11, "a", "b")
+    words = [" ".join(x) for x in thue_morse(11, ["left"], ["right"])]
+    rows = list(enumerate([*letters, *words, letters[0]], 1))
+    got = {r.doc_id: (r.component_id, r.n_shingles) for r in nd.near_duplicates(docs_of(rows), 3, 85).collect()}
+    assert [got[i][0] for i in (1, 2, 5)] == [1, 2, 1] and got[1][1] == 1
+    # The sets of the two word sequences are equal, so these two are linked, by their sets.
+    assert got[3] == got[4] and got[3][0] == 3
+
+
+def test_sequence_hashes_follow_the_words():
+    texts = ["a b  c", " a\tb c ", "ab c", "", "a bc", "A b c"]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    words = ta.find_words(np.frombuffer(b"".join(raw), np.uint8), offsets, ta.NOT_SPACE, lower=True)
+    h = nd.sequence_hashes(words).tolist()
+    assert h[0] == h[1] == h[5] and len(set(h)) == 4
