@@ -6,6 +6,11 @@ on from there, so a lost executor costs at most one stage's tasks.
 
 A document that line deduplication leaves without any line is dropped: all of it stands elsewhere. Documents that came
 in without text are judged by the quality classifier like any other. Extra columns of documents are left out.
+
+Defined results: an empty table gives an empty corpus. Null ids come last where the smallest id decides. Repeated rows are
+judged alike, keep the same lines as one document does, and count as one group of near copies, of which one row stays;
+rows without words are in no group, and the mix never takes them. Ties are broken by id, then by a hash of the text. Every
+stage works on whole texts of any length.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ from pyspark.sql import functions as F
 
 from fraudlane.llm.decontaminate import remove_contaminated
 from fraudlane.llm.fuzzy_lines import dedup_lines
-from fraudlane.llm.mixing import mix_sources, write_order
+from fraudlane.llm.mixing import mix_in_order
 from fraudlane.llm.near_duplicates import drop_near_duplicates
 from fraudlane.llm.quality_crf import THRESHOLD, score_quality, train
 from fraudlane.scratch import materialise
@@ -41,7 +46,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
+    """One row of each group of near copies stays: the smallest id, a null one only if there is no other."""
     return drop_near_duplicates(docs.select(*COLUMNS))
 
 
@@ -52,7 +57,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each draw."""
-    return write_order(mix_sources(docs, carry=COLUMNS))
+    return mix_in_order(docs, COLUMNS)
 
 
 STAGES = [
