@@ -225,6 +225,8 @@ def oracle_queries() -> dict[str, str]:
         "high_value_fraud": f"""select id, "time", amountRange from gold
             where amountRange > {q.HIGH_AMOUNT_RANGE} and prediction = 1""",
         "mispredictions": f'select p.id, p."time", p.amountRange, p.prediction, p.label from {_WRONG}',
+        "mispredictions_by_range": """select p.id, p.amountRange as range, p.prediction, v.label from scored p
+            join (select distinct amountRange, label from txn) v on p.amountRange = v.amountRange where p.prediction <> v.label""",
         "masked_rows": f"select id, {_FEATURE_LIST} from txn where label = 1",
         "false_positive_count": f"select count(p.id) as false_positive_count from {_WRONG} and p.prediction = 1",
         "row_count": "select count(*) as n_rows from txn",
@@ -313,6 +315,22 @@ def oracle_queries() -> dict[str, str]:
             round(avg(l_extendedprice), 4) as mean_y,
             round(stddev_samp(l_extendedprice) / sqrt(count(*)), 4) as standard_error
             from {_LINES} where {_IN_RANGE} group by 1""",
+        "smoothed_curve": f"""with r as (
+              select floor(l_quantity / {q.X_WIDTH}) as b, l_quantity::double as x, l_extendedprice::double as y from {_LINES} where {_IN_RANGE}),
+            a as (select avg(y) as level from r),
+            p as (
+              select c.b, r.b = c.b as own, power(1 - power(abs(r.b - c.b) / {q.SMOOTH_REACH + 1}, 3), 3) as w,
+                r.x - (c.b + 0.5) * {q.X_WIDTH} as u, r.y - a.level as v
+              from r join (select distinct b from r) c on abs(r.b - c.b) <= {q.SMOOTH_REACH}, a),
+            s as (
+              select b, count(*) filter (where own) as n_rows, count(*) as m, sum(w) as s0, sum(w * u) as s1, sum(w * u * u) as s2,
+                sum(w * v) as t0, sum(w * u * v) as t1, sum(w * v * v) as q, sum(w * w) as w0, sum(w * w * u) as w1, sum(w * w * u * u) as w2
+              from p group by b),
+            f as (
+              select *, (s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1) as b0, (s0 * t1 - s1 * t0) / (s0 * s2 - s1 * s1) as b1 from s)
+            select cast(b as bigint) as x_bin, n_rows, round(b0 + level, 4) as smooth_y,
+              round(sqrt((q - b0 * t0 - b1 * t1) / s0 * m / (m - 2) * (s2 * s2 * w0 - 2 * s1 * s2 * w1 + s1 * s1 * w2)
+                / power(s0 * s2 - s1 * s1, 2)), 4) as standard_error from f, a""",
         "scatter_bins": f"""select cast(floor(l_quantity / {q.X_WIDTH}) as bigint) as x_bin,
             cast(floor(l_extendedprice / {q.Y_WIDTH}) as bigint) as y_bin, count(*) as n_rows
             from {_LINES} group by 1, 2""",

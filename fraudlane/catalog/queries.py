@@ -35,7 +35,7 @@ SCORE_ABOVE_ID = 33
 WAREHOUSE_LAST_ID = 5_000
 HIGH_AMOUNT_RANGE = 6
 CARAT_LOW, CARAT_HIGH = 10.0, 40.0
-X_WIDTH, Y_WIDTH = 5.0, 10_000.0
+X_WIDTH, Y_WIDTH, SMOOTH_REACH = 5.0, 10_000.0, 2
 BLOCK_ROWS, REQUEST_RECORDS, BATCH_ROWS = 1000, 100, 1000
 QUALIFIERS = ["prediction", "time", "amountRange"]
 FIRST_STAMP, SECOND_STAMP = 1_700_000_000_000_000, 1_700_000_060_000_000
@@ -561,6 +561,16 @@ def mispredictions_bucketed(spark, sf_dir):
     return reconcile.mispredictions(scored, valid)
 
 
+@query
+def mispredictions_by_range(spark, sf_dir):
+    """Scores joined with the labels of their amount range, a key that a few values share: heavy ones are spread over tasks."""
+    txn = transactions(spark, sf_dir)
+    scored = medallion.gold_rows(txn).select("id", F.col("amountRange").alias("range"), "prediction")
+    labels = txn.groupBy(F.col("amountRange").alias("range"), "label").agg(F.count(F.lit(1)).alias("n"))
+    wrong = reconcile.mispredictions(scored, labels, "range", spread=True)
+    return wrong.select("id", "range", "prediction", "label")
+
+
 @query
 def masked_rows(spark, sf_dir):
     features, labels = feat.features_and_label(transactions(spark, sf_dir))
@@ -622,6 +632,11 @@ def smoothed_means(spark, sf_dir):
     return explore.smoothed_means(range_select(spark, sf_dir), "l_quantity", "l_extendedprice", X_WIDTH)
 
 
+@query
+def smoothed_curve(spark, sf_dir):
+    return explore.local_linear(range_select(spark, sf_dir), "l_quantity", "l_extendedprice", X_WIDTH, SMOOTH_REACH)
+
+
 @query
 def scatter_bins(spark, sf_dir):
     lines = files.read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])

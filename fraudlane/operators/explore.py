@@ -40,6 +40,71 @@ def smoothed_means(df: DataFrame, x: str, y: str, width: float, digits: int = 4)
     )
 
 
+def local_linear(
+    df: DataFrame, x: str, y: str, width: float, reach: int = 2, digits: int = 4
+) -> DataFrame:
+    """A smooth curve of ``y`` over ``x``: at the middle of each bin a straight line fitted to the bins around it.
+
+    Bins up to ``reach`` away count with a weight that falls with their distance (tricube). A bin is six sums around its
+    own middle, merged before the shuffle; moving these to a neighbour's middle is arithmetic, so rows are read once
+    and only bins meet. ``standard_error`` is that of the fitted value, from the weighted residuals with two degrees of
+    freedom taken by the line. Where all rows around have one ``x`` the curve is their mean; with two rows or fewer there is no
+    error. Rows with a NULL on either side are left out; only bins with rows of their own are answered.
+    """
+    middle = f"(x_bin + 0.5D) * {float(width)}D"
+    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), _bin(x, width).alias("x_bin")
+    )
+    # Sums of squares around the mean of all keep their digits.
+    level = known.agg(F.avg("y")).scalar()
+    placed = known.select("x_bin", F.expr(f"x - {middle}").alias("u"), (F.col("y") - level).alias("v"))
+    sums = {"n": "count(1)", "u": "sum(u)", "uu": "sum(u * u)", "v": "sum(v)", "uv": "sum(u * v)", "vv": "sum(v * v)"}
+    bins = placed.groupBy("x_bin").agg(*[F.expr(f"{e} AS {c}") for c, e in sums.items()])
+    near = bins.selectExpr("*", f"explode(sequence(x_bin - {reach}, x_bin + {reach})) AS at")
+    moved = near.selectExpr(
+        "at",
+        "at = x_bin AS own",
+        "n",
+        f"pow(1 - pow(abs(x_bin - at) / {reach + 1}D, 3), 3) AS w",
+        f"(x_bin - at) * {float(width)}D AS d",
+        "u", "uu", "v", "uv", "vv",
+    )
+    merged = moved.groupBy("at").agg(
+        *[
+            F.expr(f"sum({e}) AS {c}")
+            for c, e in {
+                "rows": "CASE WHEN own THEN n END",
+                "m": "n",
+                "s0": "w * n",
+                "s1": "w * (u + n * d)",
+                "s2": "w * (uu + 2 * d * u + n * d * d)",
+                "t0": "w * v",
+                "t1": "w * (uv + d * v)",
+                "q": "w * vv",
+                "w0": "w * w * n",
+                "w1": "w * w * (u + n * d)",
+                "w2": "w * w * (uu + 2 * d * u + n * d * d)",
+            }.items()
+        ]
+    ).where("rows IS NOT NULL")
+    flat = f"s0 * s2 - s1 * s1 <= 1e-12D * s0 * s0 * {float(width) ** 2}D"
+    fitted = merged.selectExpr(
+        "*", f"{flat} AS flat", f"CASE WHEN NOT {flat} THEN (s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1) ELSE t0 / s0 END AS b0",
+        f"CASE WHEN NOT {flat} THEN (s0 * t1 - s1 * t0) / (s0 * s2 - s1 * s1) ELSE 0D END AS b1",
+    )
+    spread = fitted.selectExpr(
+        "*",
+        "CASE WHEN m > 2 THEN greatest(q - b0 * t0 - b1 * t1, 0D) / s0 * m / (m - 2) END AS variance",
+        "CASE WHEN NOT flat THEN (s2 * s2 * w0 - 2 * s1 * s2 * w1 + s1 * s1 * w2) / pow(s0 * s2 - s1 * s1, 2) ELSE w0 / (s0 * s0) END AS lever",
+    )
+    return spread.select(
+        F.col("at").alias("x_bin"),
+        F.col("rows").alias("n_rows"),
+        F.round(F.col("b0") + level, digits).alias("smooth_y"),
+        F.round(F.sqrt(F.col("variance") * F.col("lever")), digits).alias("standard_error"),
+    )
+
+
 def scatter_bins(df: DataFrame, x: str, y: str, x_width: float, y_width: float) -> DataFrame:
     bins = [_bin(x, x_width).alias("x_bin"), _bin(y, y_width).alias("y_bin")]
     return df.groupBy(*bins).agg(F.count(F.lit(1)).alias("n_rows"))

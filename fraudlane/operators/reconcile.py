@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_spreading_heavy
 
-def mispredictions(predictions: DataFrame, truth: DataFrame, key: str = "id") -> DataFrame:
+
+def mispredictions(
+    predictions: DataFrame, truth: DataFrame, key: str = "id", spread: bool = False
+) -> DataFrame:
     """Rows where both sides know a class and the classes differ.
 
-    Only the key and the label of the truth take part, so the exchange stays narrow.
+    Only the key and the label of the truth take part, so the exchange stays narrow. ``spread`` looks for heavy keys first
+    and joins them in many tasks, for tables whose keys are no identities.
     """
     labels = truth.select(key, "label").where(F.col("label").isNotNull())
-    joined = predictions.join(labels, key, "inner")
+    joined = join_spreading_heavy(predictions, labels, key) if spread else predictions.join(labels, key, "inner")
     return joined.where(F.col("prediction") != F.col("label"))
 
 

@@ -47,3 +47,12 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of finished steps removed now.
+
+    Spark's cleaner removes them when the driver's collector has found their plans unused, which a driver with memory to
+    spare puts off for long. A job of many steps asks for it after each step that shuffled much and was stored.
+    """
+    spark.sparkContext._jvm.System.gc()

@@ -33,10 +33,13 @@ def buckets_for(df: DataFrame) -> int:
 def create_table(
     df: DataFrame, table: str, key: str | None = None, buckets: int | None = None
 ) -> DataFrame:
-    """Fails if the table exists. Tables bucketed alike on a key later join without a shuffle."""
+    """Fails if the table exists. Tables bucketed alike on a key later join without a shuffle.
+
+    One task writes a bucket; one that a heavy key fills is split over tasks and files.
+    """
     if key:
         buckets = buckets or buckets_for(df)
-        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        writer = df.hint("rebalance", buckets, key).write.bucketBy(buckets, key).sortBy(key)
     else:
         writer = df.write
     writer.mode("errorifexists").format("parquet").saveAsTable(table)

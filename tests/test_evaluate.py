@@ -110,3 +110,35 @@ def test_correlation_keeps_its_digits_far_from_zero(spark):
 
 def test_correlation_of_nothing(spark):
     assert explore.pairwise_correlation(spark.createDataFrame([], "label int, a double, b double"), ["a", "b"]).count() == 0
+
+
+def test_local_line_matches_a_weighted_fit(spark):
+    import numpy as np
+
+    pick = np.random.default_rng(8)
+    x = pick.uniform(-7, 13, 500)
+    y = 3 + 0.5 * x * x + pick.normal(size=500) + 1e6
+    df = spark.createDataFrame([*map(tuple, np.stack([x, y], 1).tolist()), (None, 1.0), (2.0, None)], "x double, y double").repartition(7)
+    got = {r["x_bin"]: r for r in explore.local_linear(df, "x", "y", 2.0, 2, 9).collect()}
+    bins = np.floor(x / 2)
+    assert set(got) == set(bins.astype(int).tolist())
+    for b, row in got.items():
+        w = np.clip(1 - (np.abs(bins - b) / 3) ** 3, 0, None) ** 3
+        use = w > 0
+        design = np.stack([np.ones(use.sum()), x[use] - (b + 0.5) * 2], 1)
+        solved = np.linalg.inv(design.T @ (design * w[use, None]))
+        fit = solved @ (design.T @ (w[use] * (y[use] - 1e6)))
+        rest = (y[use] - 1e6) - design @ fit
+        variance = (w[use] * rest**2).sum() / w.sum() * use.sum() / (use.sum() - 2)
+        error = np.sqrt(variance * ((solved @ (design * w[use, None]).T)[0] ** 2).sum())
+        assert row["n_rows"] == (bins == b).sum()
+        assert abs(row["smooth_y"] - 1e6 - fit[0]) < 1e-5 and abs(row["standard_error"] - error) < 1e-5
+
+
+def test_local_line_of_few_rows(spark):
+    one = [tuple(r) for r in explore.local_linear(spark.createDataFrame([(1.0, 5.0)], "x double, y double"), "x", "y", 2.0).collect()]
+    assert one == [(0, 1, 5.0, None)]
+    same = spark.createDataFrame([(1.0, 5.0), (1.0, 7.0), (1.0, 9.0)], "x double, y double")
+    row = explore.local_linear(same, "x", "y", 2.0).first()
+    assert (row["n_rows"], row["smooth_y"]) == (3, 7.0) and row["standard_error"] > 0
+    assert explore.local_linear(same.limit(0), "x", "y", 2.0).count() == 0
