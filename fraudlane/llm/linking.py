@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlane.scratch import materialise
+from fraudlane.scratch import materialise, release
 
 
 #: Leads whose signatures are compared for each member and turn; the rest is left to the comparison of leftovers.
@@ -26,6 +26,13 @@ LEADS = 4
 MAP_WORDS = 32
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once; the shuffle files it was made with go before the next step writes its own."""
+    stored = materialise(df, purpose)
+    release(df.sparkSession)
+    return stored
+
+
 def connected_components(links: DataFrame, most: int | None = None) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b) but the roots; root is the smallest node of its component.
 
@@ -34,7 +41,7 @@ def connected_components(links: DataFrame, most: int | None = None) -> DataFrame
     smallest node known to be in its component, which may not be the smallest there is.
     """
     links = links.where("a <> b")
-    edges = materialise(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = _stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     step = 0
     while True:
         step += 1
@@ -49,7 +56,7 @@ def connected_components(links: DataFrame, most: int | None = None) -> DataFrame
             .where("a <> b")
             .distinct()
         )
-        edges = materialise(small, "edges")
+        edges = _stored(small, "edges")
         if step == most:
             return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
         # Done when every node has one link or is linked to, and no node both.
@@ -88,7 +95,7 @@ def _with_shared(mixed: DataFrame, store: DataFrame, contents: Step, percent: in
     ``hidden`` in common. Both bounds hold for every pair; in a group of altered copies they are close to the truth.
     """
     nodes = mixed.select("node").distinct()
-    sets = materialise(contents(store.join(nodes, "node", "left_semi")), "sets")
+    sets = _stored(contents(store.join(nodes, "node", "left_semi")), "sets")
     own = sets.select("node", F.explode("items").alias("item")).groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("c"))
     own = own.where("c = 1").groupBy("node").agg(F.collect_list("item").alias("own"))
     held = sets.join(own, "node", "left").select(
@@ -133,10 +140,10 @@ def link_classes(
     rows = classes.select(F.explode(F.array_distinct("keys")).alias("key"), "node")
     shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     members = rows.join(shared.select("key"), "key")
-    members = materialise(members if words else members.distinct(), "members")
-    near = materialise(members.select("node").distinct(), "nodes")
-    store = materialise(texts(near), "texts")
-    sigs = materialise(classes.select("node", "sig").join(near, "node", "left_semi"), "signatures") if words else None
+    members = _stored(members if words else members.distinct(), "members")
+    near = _stored(members.select("node").distinct(), "nodes")
+    store = _stored(texts(near), "texts")
+    sigs = _stored(classes.select("node", "sig").join(near, "node", "left_semi"), "signatures") if words else None
     none = spark.range(0)
     done = links = none.selectExpr("id AS a", "id AS b")
     labels = none.selectExpr("id AS node", "id AS root")
@@ -144,7 +151,7 @@ def link_classes(
     def linked(pairs: DataFrame) -> DataFrame:
         for x in "ab":
             pairs = pairs.join(store.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")), x)
-        return materialise(verify(pairs.select("a", "b", "text_a", "text_b")), "links")
+        return _stored(verify(pairs.select("a", "b", "text_a", "text_b")), "links")
 
     def distance(pairs: DataFrame) -> DataFrame:
         """Adds ``far``: the signature distance, or a number that depends on the pair alone."""
@@ -159,7 +166,7 @@ def link_classes(
         return named.select("key", "node", F.coalesce("r", "node").alias("root"))
 
     for turn in range(rounds):
-        at = materialise(_mixed(rooted()), "mixed") if turn else rooted()
+        at = _stored(_mixed(rooted()), "mixed") if turn else rooted()
         at = at.withColumn("o", F.xxhash64("node", F.lit(turn)) if turn else F.col("node"))
         # A lead for each bucket, and another for members of the first one's component. Of the leads a member shares the
         # most buckets with, it is compared with the nearest.
@@ -176,14 +183,14 @@ def link_classes(
         order = Window.partitionBy("own").orderBy(F.desc("times"), F.xxhash64("a", "b"), "a", "b")
         pairs = pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADS)
         best = distance(pairs).groupBy("own").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-        best = materialise(best, "pairs")
+        best = _stored(best, "pairs")
         found = linked(best)
         done, links = done.union(best), links.union(found)
         labels = connected_components(links, most=2)
-    mixed = materialise(_with_shared(_mixed(rooted()), store, contents, percent), "mixed")
+    mixed = _stored(_with_shared(_mixed(rooted()), store, contents, percent), "mixed")
     mixed = _mixed(mixed)
     keys = mixed.groupBy("node").agg(F.array_sort(F.collect_set("key")).alias("own_keys"))
-    mixed = materialise(mixed.join(keys, "node"), "leftovers")
+    mixed = _stored(mixed.join(keys, "node"), "leftovers")
     # Linked sets differ in size by one step of the threshold at most, so a set meets its own and the next smaller and
     # larger sizes only.
     step = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
@@ -198,6 +205,6 @@ def link_classes(
     most = bits_in_common(F.col("x.map"), F.col("y.map")) + F.least("x.hidden", "y.hidden")
     apart &= 100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)
     rest = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    rest = materialise(rest.join(done, ["a", "b"], "left_anti"), "pairs")
+    rest = _stored(rest.join(done, ["a", "b"], "left_anti"), "pairs")
     links = links.union(linked(rest))
     return links, connected_components(links)
