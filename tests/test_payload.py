@@ -147,3 +147,11 @@ def test_odd_bodies_under_a_contract(spark):
 def test_checked_response_needs_no_shuffle(spark, requests, plan_of):
     stored = spark.createDataFrame(requests.limit(3).collect(), requests.schema)
     assert "Exchange" not in plan_of(payload.respond_checked(stored, SIGNATURE, _votes), "simple")
+
+
+def test_records_leave_their_request_before_python(spark, requests, plan_of):
+    """A record that carried its whole request along would fill the disk: its size times its records."""
+    stored = spark.createDataFrame(requests.limit(3).collect(), requests.schema)
+    plan = plan_of(payload.respond_with_udf(stored, scoring.vote_udf()), "simple")
+    opened = [line for line in plan.splitlines() if "Generate posexplode" in line]
+    assert len(opened) == 1 and "_valid" in opened[0] and opened[0].count("_records") == 1
