@@ -2,6 +2,7 @@ import pytest
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
+from fraudlane.catalog import queries
 from fraudlane.functions import scoring
 from fraudlane.functions.features import FEATURES
 from fraudlane.operators import evaluate, sampling
@@ -264,3 +265,14 @@ def test_likelihood_of_a_regression_forest(train, parts):
         mine = [(p, y) for p, y in own if min(9, int(p * 10)) == place]
         assert n == len(mine)
         assert (mean, positive) == pytest.approx((sum(p for p, _ in mine) / n, sum(y for _, y in mine) / n))
+
+
+@pytest.mark.parametrize("name", ["rf_predictions", "rf_probability"])
+def test_scores_are_held_against_another_fit(name, spark, tmp_path):
+    vectors = [(i, [float((i * k) % 7) / 10 - 0.2 for k in range(1, 29)]) for i in range(20)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    events = spark.range(400).selectExpr("id AS event_id", "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "CAST(id % 90 AS DOUBLE) AS value")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    rows = queries.all_queries()[name](spark, str(tmp_path)).collect()
+    assert sorted(r["label"] for r in rows) == [0, 1] and all(r["n_rows"] > 0 for r in rows)
+    assert all(r["n_out_of_range"] == 0 and r["n_changed"] == 0 for r in rows)
