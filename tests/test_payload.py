@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudlane.functions import features, scoring
 from fraudlane.functions.features import FEATURES, feature_names
@@ -155,3 +156,36 @@ def test_records_leave_their_request_before_python(spark, requests, plan_of):
     plan = plan_of(payload.respond_with_udf(stored, scoring.vote_udf()), "simple")
     opened = [line for line in plan.splitlines() if "Generate posexplode" in line]
     assert len(opened) == 1 and "_valid" in opened[0] and opened[0].count("_records") == 1
+
+
+def test_only_values_that_are_scored_are_cast(spark, requests, plan_of):
+    """Casting all 28 values of each record, scored or not, took much of the time."""
+    stored = spark.createDataFrame(requests.limit(3).collect(), requests.schema)
+    answers = payload.respond_checked(stored, features.feature_signature(), _votes)
+    plan = answers._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_get(") == 3
+
+
+def test_contract_faults_of_odd_records(spark):
+    """Values of other kinds, nested namesakes, and elements that are no objects."""
+    fields = [("pca0", T.DoubleType()), ("pca1", T.IntegerType()), ("pca2", T.StringType())]
+    contract = T.StructType([T.StructField(*field) for field in fields]).json()
+    records = [
+        '{"pca[0]":1,"pca[1]":2,"pca[2]":"a"}',
+        '{"pca[2]":"a","pca[0]":1e30,"pca[1]":2.5,"other":{"pca[0]":true}}',
+        '{"pca[0]":{"pca[0]":1},"pca[1]":"x","pca[2]":[1]}',
+        '{"pca[0]":null,"pca[1]":99999999999}',
+        "null",
+        "[1]",
+    ]
+    body = '{"dataframe_records":[' + ",".join(records) + "]}"
+    df = spark.createDataFrame([(1, body)], "request_id long, body string")
+    rows = payload.check_records(df, contract).orderBy("position").collect()
+    assert [tuple(r)[2:] for r in rows] == [
+        (1.0, 2, "a", None),
+        (1e30, 2, "a", None),
+        (None, None, "[1]", "pca[0] is object<`pca[0]`: bigint>, pca[1] is string, pca[2] is array<bigint>"),
+        (None, None, None, "pca[0] is null, pca[1] is bigint, pca[2] is missing"),
+        (None, None, None, "is no object"),
+        (None, None, None, "is no object"),
+    ]
