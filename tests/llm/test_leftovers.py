@@ -34,3 +34,25 @@ def test_bounds_hold_for_every_pair(spark):
     common = {(a, b): len(sets[a] & sets[b]) for a, b in itertools.combinations(sets, 2)}
     assert all(bounds[p] >= n for p, n in common.items())
     assert sum(bounds[p] - n for p, n in common.items()) < sum(60 - n for n in common.values()) / 4
+
+
+def test_leftover_pairs_are_the_same_in_slices(docs_of, monkeypatch):
+    """Each pair comes out in one slice, so that only a part of the rows with bit maps is moved at a time."""
+    slices, stored = {}, linking.materialise
+
+    def kept(df, purpose):
+        out = stored(df, purpose)
+        if purpose == "slice_pairs":
+            slices.setdefault(linking.SLICES, []).append([tuple(r) for r in out.collect()])
+        return out
+
+    monkeypatch.setattr(linking, "materialise", kept)
+    monkeypatch.setattr(nd, "link_classes", functools.partial(linking.link_classes, rounds=0))
+    docs = docs_of([(10 * i + k, text) for i in range(8) for k, text in enumerate(pair(i))])
+    components = []
+    for n in (1, 4):
+        monkeypatch.setattr(linking, "SLICES", n)
+        components.append({r.doc_id: r.component_id for r in nd.near_duplicates(docs).collect()})
+    assert components[0] == components[1] == {10 * i + k: 10 * i for i in range(8) for k in range(2)}
+    assert len(slices[4]) == 4 and max(map(len, slices[4])) < len(slices[1][0])
+    assert sorted(sum(slices[4], [])) == sorted(slices[1][0])
