@@ -200,6 +200,19 @@ def test_partitions_grow_with_the_rows(rows, partitions):
     assert training.partitions_for(rows) == partitions
 
 
+@pytest.mark.parametrize(
+    "rows, partitions", [(0, 1), (80_000, 4), (480_000, 24), (4_800_000, 24), (6 * 10**6, 24), (10**9, 4_000)]
+)
+def test_many_rows_make_larger_partitions_first(rows, partitions):
+    """Each partition sends the counts of every open node, so 60 times the rows must not mean 60 times the partitions."""
+    assert training.fit_partitions(rows) == partitions
+
+
+def test_a_training_frame_has_the_partitions_of_a_fit(parts, monkeypatch):
+    monkeypatch.setattr(training, "fit_partitions", lambda rows: 3)
+    assert training.training_frame(parts["train"]).rdd.getNumPartitions() == 3
+
+
 def test_writers_at_the_same_time_never_share_a_version(spark, database):
     from threading import Thread
 
