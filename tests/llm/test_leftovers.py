@@ -56,3 +56,16 @@ def test_leftover_pairs_are_the_same_in_slices(docs_of, monkeypatch):
     assert components[0] == components[1] == {10 * i + k: 10 * i for i in range(8) for k in range(2)}
     assert len(slices[4]) == 4 and max(map(len, slices[4])) < len(slices[1][0])
     assert sorted(sum(slices[4], [])) == sorted(slices[1][0])
+
+
+def test_bounds_are_the_same_in_slices(spark, monkeypatch):
+    """Items are counted a slice at a time, so that only a part of all sets is moved at a time."""
+    written, stored = [], linking.materialise
+    monkeypatch.setattr(linking, "materialise", lambda df, purpose: written.append(purpose) or stored(df, purpose))
+    store = spark.createDataFrame([(i, [*range(i, i + 9), 100 + i]) for i in range(6)] + [(9, [900, 901])], "node long, items array<long>")
+    found = []
+    for n in (1, 4):
+        monkeypatch.setattr(linking, "SLICES", n)
+        found.append(sorted(tuple(r) for r in linking._with_shared(store.select("node"), store, lambda nodes: nodes, 10).collect()))
+    assert found[0] == found[1] and [(r[0], r[1], r[2]) for r in found[0]] == [(i, 10, 8 if i in (0, 5) else 9) for i in range(6)]
+    assert written.count("own_items") == 5
