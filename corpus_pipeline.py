@@ -2,7 +2,8 @@
 
 Each stage gets what the stage before it kept and returns the columns of documents; the last returns one row for each
 draw of the mix, with the copy's number and the output shard. ``run`` writes each stage to the shared folder and goes
-on from there, so a lost executor costs at most one stage's tasks.
+on from there, so a lost executor costs at most one stage's tasks; what a stage stored beside its result is removed when
+the result is written.
 
 A document that line deduplication leaves without any line is dropped: all of it stands elsewhere. Documents that came
 in without text are judged by the quality classifier like any other. Extra columns of documents are left out.
@@ -23,7 +24,7 @@ from fraudlane.llm.fuzzy_lines import dedup_lines
 from fraudlane.llm.mixing import mix_in_order
 from fraudlane.llm.near_duplicates import drop_near_duplicates
 from fraudlane.llm.quality_crf import THRESHOLD, score_quality, train
-from fraudlane.scratch import materialise
+from fraudlane.scratch import discard, materialise, temporary_rows
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: The stages learn, link and permute; none of that has an SQL form.
@@ -72,5 +73,9 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage_{name}")
+        given = docs
+        with temporary_rows(spark) as keep:
+            docs = materialise(stage(spark, given, sf_dir), f"stage_{name}")
+            keep(docs)
+        discard(given)
     return docs

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from fraudlane.llm import text_arrays as ta
 from fraudlane.llm.linking import link_classes
-from fraudlane.scratch import materialise
+from fraudlane.scratch import discard, materialise, temporary_rows
 
 LANES, LONG_WORD = 64, 256
 _NO_ID = -(1 << 63)
@@ -186,6 +186,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     )
     filled = indexed.where("n_shingles > 0")
     classes = materialise(filled.selectExpr("node", "doc_id", "fp", "keys", "sig").dropDuplicates(["node"]), "classes")
+    # The keys are most of the index, and those of the classes are enough.
+    whole, indexed = indexed, materialise(indexed.select("doc_id", "fp", "n_shingles", "node"), "shingle_counts")
+    filled = indexed.where("n_shingles > 0")
+    discard(whole)
 
     def texts(nodes: DataFrame) -> DataFrame:
         """The text of one row of each class is read again."""
@@ -204,6 +208,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     rooted = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("least").alias("first"))
     named = materialise(rooted.join(first, "root").select("node", "first", F.col("root").alias("component")), "component_ids")
+    discard(classes, roots)
     out = indexed.select(given.alias("doc_id"), "fp", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     return out.join(named, "node", "left").select(
         "doc_id",
@@ -222,14 +227,16 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int =
     of equal ones any. A component of rows without an id keeps one of them; null ids come last. Rows without words
     have no component and stay.
     """
-    found = near_duplicates(docs, shingle_words, percent).where("n_shingles > 0")
     # A row is known by its id and the hash of its text; rows that share both are copies.
     one, key = F.struct(F.col("doc_id").isNull().alias("anon"), "doc_id", "fp"), ["_near_id", "_near_text"]
-    known = materialise(found.groupBy("doc_id", "fp", "component").agg(F.count("*").alias("n")), "near_rows")
-    ranked = known.join(known.groupBy("component").agg(F.min(one).alias("first")), "component")
     named = [F.coalesce("doc_id", F.lit(_NO_ID)).alias("_near_id"), F.col("fp").alias("_near_text")]
-    gone = materialise(ranked.where(one != F.col("first")).select(*named), "near_copies")
-    repeated = materialise(ranked.where((one == F.col("first")) & (F.col("n") > 1)).select(*named), "near_repeats")
+    with temporary_rows(docs.sparkSession) as keep:
+        found = near_duplicates(docs, shingle_words, percent).where("n_shingles > 0")
+        known = materialise(found.groupBy("doc_id", "fp", "component").agg(F.count("*").alias("n")), "near_rows")
+        ranked = known.join(known.groupBy("component").agg(F.min(one).alias("first")), "component")
+        gone = materialise(ranked.where(one != F.col("first")).select(*named), "near_copies")
+        repeated = materialise(ranked.where((one == F.col("first")) & (F.col("n") > 1)).select(*named), "near_repeats")
+        keep(gone, repeated)
     own = F.struct(*(docs[c] for c in docs.columns)).alias("_row")
     rows = docs.select(
         own, F.coalesce(docs["doc_id"].cast("long"), F.lit(_NO_ID)).alias("_near_id"), F.xxhash64(docs["text"]).alias("_near_text")
