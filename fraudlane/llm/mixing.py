@@ -12,7 +12,9 @@ exact distribution. Shards then take disjoint ranges of each source's draws, and
 locally.
 
 Everything is SQL on three small tables (sources, blocks, tree nodes) and two passes over (doc_id, source, size); the
-texts are read once, to count words. The number of blocks of a source is bounded by ``MAX_BLOCKS``, beyond which blocks
+texts are read once, to count words, and twice more where columns are carried. The table of blocks is measured and
+broadcast, so rows learn their draws where they lie; only those of the block in which a source's partial pass ends, one
+block for each source, are moved to be put in order. The number of blocks of a source is bounded by ``MAX_BLOCKS``, beyond which blocks
 grow; a source with a third of all documents has as many blocks as its share, so no task holds a source.
 
 Defined results: a null text has size 0 and is never taken, like any document without words; null sources are one
@@ -27,6 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudlane.operators.joins import join_measured
 from fraudlane.scratch import materialise
 
 WEIGHTS = (3, 1, 2)
@@ -38,18 +41,26 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _SPREAD = 10  # standard deviations kept on each side of a draw's mean; less than 1e-22 lies outside
 
 
-def sized(docs: DataFrame, *more: Column) -> DataFrame:
-    """doc_id, source, size and the permutation key, below 2**60; then columns of ``docs``."""
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
+
+
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, source and the permutation key, below 2**60; then columns of ``docs``."""
     name = F.concat(F.lit(f"{SEED} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"),
         F.conv(F.substring(F.md5(name.cast("binary")), 1, 15), 16, 10).cast("long").alias("key"),
         *more,
     )
 
 
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and the permutation key."""
+    return keyed(docs, _size().alias("size"))
+
+
 def source_targets(rows: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """One row for each source: source, rank, source_size, n_docs and target."""
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
@@ -198,7 +209,8 @@ def mix_and_shards(
     blocks = sums.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
     # A block is drawn once for each whole pass, and once more if the partial pass reaches into it.
     times = F.col("passes") + F.when(F.col("before") < F.col("partial"), 1).otherwise(0)
-    blocks = materialise(blocks.select("rank", "block", "before", times.alias("times")), "mix_blocks")
+    ends = (F.col("before") < F.col("partial")) & (F.col("before") + F.col("words") > F.col("partial"))
+    blocks = materialise(blocks.select("rank", "block", "before", times.alias("times"), ends.alias("ends")), "mix_blocks")
     draws = blocks.where("times > 0").select("rank", "block", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
     draws = draws.withColumn("draw", F.row_number().over(Window.partitionBy("rank").orderBy("copy", F.xxhash64("block", "copy"), "block")) - 1)
     quotas = blocks.groupBy("rank").agg(F.sum("times").cast("long").alias("quota"))
@@ -208,19 +220,29 @@ def mix_and_shards(
         F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("homes")
     )
     homes = materialise(blocks.join(homes, ["rank", "block"], "left"), "mix_homes")
-    order = Window.partitionBy("rank", "block").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.col("size") > 0
     if carry:
         # The text is read again and goes with its row, so that rows need not be found again by an id.
-        placed = in_blocks(sized(docs, F.struct(*carry).alias("own")))
-    full = placed.join(homes.select("rank", "block", "before", "homes"), ["rank", "block"])
-    full = full.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
+        placed = in_blocks(keyed(docs, "text", F.struct(*carry).alias("own")))
+        filled = F.col("text").rlike(_WORD)
+    known = homes.select("rank", "block", "before", "ends", "homes")
+    # The partial pass takes all of a block or nothing, but for the block it ends in, whose rows are put in order.
+    order = Window.partitionBy("rank", "block").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    whole, cut = (join_measured(placed.withColumn("filled", filled), known.where(x), ["rank", "block"]) for x in ("NOT ends", "ends"))
+    if carry:
+        whole, cut = (x.withColumn("size", _size()).drop("text") for x in (whole, cut))
+    whole = whole.withColumn("reached", F.col("before") < F.col("partial"))
+    cut = cut.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
     # The document nearest to the end of the partial pass is its last.
-    times = F.when(F.col("size") > 0, F.col("passes") + (2 * F.col("before") + F.col("size") <= 2 * F.col("partial")).cast("long")).otherwise(0)
+    cut = cut.withColumn("reached", 2 * F.col("before") + F.col("size") <= 2 * F.col("partial"))
+    times = F.col("passes") + F.col("reached").cast("long")
     place = F.transform(
-        F.filter("homes", lambda x: x["copy"] <= F.col("times")),
+        F.filter("homes", lambda x: x["copy"] <= times),
         lambda x: F.struct(x["copy"].alias("copy"), x["shard"].alias("shard"), F.xxhash64(F.lit(SEED), F.col("key"), x["copy"]).alias("place")),
     )
-    mix = full.withColumn("times", times).select(
+    # A row without words is never taken. That is asked outside, as the optimiser asks again for rows with a draw.
+    place = F.when(F.col("filled"), place)
+    mix = whole.unionByName(cut).select(
         "doc_id", "size", "source_size", "target", F.coalesce(place, F.array().cast("array<struct<copy:bigint,shard:int,place:bigint>>")).alias("draws"), *(["own"] if carry else [])
     )
     return mix, shards

@@ -96,3 +96,36 @@ def test_order_without_a_second_mix(corpus):
     assert rows.columns == again.columns and rows.exceptAll(again).count() == 0 and rows.count() == again.count()
     by_part = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("shard").alias("n"), F.min("shard").alias("s")).collect()
     assert all(r.n == 1 and r.p == r.s for r in by_part)
+
+
+def shuffled_bytes(df):
+    """What the shuffles of a plan that has run moved, each counted once."""
+    def stages(node):
+        if "AdaptiveSparkPlan" in node.nodeName():
+            node = node.executedPlan()
+        inner = [node.plan()] if "QueryStage" in node.nodeName() else [node.children().apply(i) for i in range(node.children().size())]
+        own = node.metrics().apply("dataSize").value() if node.nodeName() == "Exchange" else 0
+        return own + sum(map(stages, inner))
+
+    return stages(df._jdf.queryExecution().executedPlan())
+
+
+def test_texts_are_moved_once(docs_of, write_prose, monkeypatch):
+    """The shards are all that texts are dealt out for; what comes before needs few of them."""
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 400)
+    rows = [(i, (write_prose(i, 200), "en", "abc"[i % 3], 1)) for i in range(600)]
+    mix = mixing.mix_in_order(docs_of(rows), ("doc_id", "text", "source"), shard_words=20_000)
+    taken = sum(len(r.text) for r in mix.collect())
+    assert taken > 1.4 * sum(len(t) for _, (t, *_) in rows)
+    assert taken < shuffled_bytes(mix) < 1.3 * taken
+
+
+def test_the_partial_pass_ends_inside_a_block(docs_of, monkeypatch):
+    """Whatever the size of blocks, the mix takes a prefix of each permuted source."""
+    rows = [(i, ("w " * (1 + i * 7 % 23), "en", "abcd"[i % 4 if i % 3 else 0], 1)) for i in range(400)]
+    drawn = []
+    for words, most in ((1, 1 << 16), (37, 1 << 16), (500, 1 << 16), (37, 3), (10**9, 1)):
+        monkeypatch.setattr(mixing, "BLOCK_WORDS", words)
+        monkeypatch.setattr(mixing, "MAX_BLOCKS", most)
+        drawn.append({r.doc_id: len(r.draws) for r in mixing.mix_sources(docs_of(rows)).collect()})
+    assert all(d == drawn[-1] for d in drawn) and len(set(drawn[-1].values())) > 1
