@@ -69,3 +69,13 @@ def test_bounds_are_the_same_in_slices(spark, monkeypatch):
         found.append(sorted(tuple(r) for r in linking._with_shared(store.select("node"), store, lambda nodes: nodes, 10).collect()))
     assert found[0] == found[1] and [(r[0], r[1], r[2]) for r in found[0]] == [(i, 10, 8 if i in (0, 5) else 9) for i in range(6)]
     assert written.count("own_items") == 5
+
+
+def test_compared_pairs_of_two_are_no_leftovers(spark):
+    """A bucket of two that were compared and are no link asks for nothing more; one of three is looked at again."""
+    sizes = [2, 2, 2, 2, 3, 3]
+    rooted = spark.createDataFrame([(i, 10 * i + k, 10 * i + k) for i, n in enumerate(sizes) for k in range(n)], "key long, node long, root long")
+    done = spark.createDataFrame([(0, 1), (10, 11), (40, 41), (22, 30)], "a long, b long")
+    assert {r.key for r in linking._mixed(rooted, done).collect()} == {2, 3, 4, 5}
+    assert linking._mixed(rooted, done).count() == 10
+    assert linking._mixed(rooted).count() == sum(sizes)
